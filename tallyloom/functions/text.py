@@ -11,9 +11,8 @@ WHITESPACE = (
     "           "
     "    　"
 )
-WHITESPACE_CLASS = (
-    r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-)
+# The same set as a regular expression: one character-type test and one range, much faster than a list of ranges.
+WHITESPACE_CLASS = r"[\p{IsWhite_Space}\x{1c}-\x{1f}]"
 # Fixed value: a word is a run of letters, numbers and underscores in any script.
 WORD = r"[\p{L}\p{N}_]+"
 
@@ -39,7 +38,7 @@ def joined_length(*parts: Column) -> Column:
 
 def normalise(col: Column) -> Column:
     """Strip, lower, and collapse every whitespace run to one space."""
-    return F.regexp_replace(F.lower(strip(col)), WHITESPACE_CLASS + "+", " ")
+    return F.regexp_replace(F.lower(strip(col)), WHITESPACE_CLASS + "++", " ")
 
 
 def norm_key(col: Column) -> Column:
@@ -77,7 +76,7 @@ def trigram_repetition(col: Column) -> Column:
     def score(words: Column) -> Column:
         trigrams = F.transform(
             F.sequence(F.lit(0), F.size(words) - 3),
-            lambda i: F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)),
+            lambda i: F.concat(F.get(words, i), F.lit(" "), F.get(words, i + 1), F.lit(" "), F.get(words, i + 2)),
         )
         return F.when(F.size(words) < 3, F.lit(0.0)).otherwise(_bind(F.sort_array(trigrams), repeated_share))
 

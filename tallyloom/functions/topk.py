@@ -9,13 +9,18 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+_SCORES_AT_ONCE = 4_000_000
+
 
 def unit_rows(vectors: pa.Array) -> np.ndarray:
     """A list column as a float64 matrix with rows of length one (a zero vector stays zero)."""
+    if len(pc.unique(pc.list_value_length(vectors))) > 1:
+        raise ValueError("vectors of different lengths")
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     matrix = flat.reshape(len(vectors), -1) if len(vectors) else flat.reshape(0, 0)
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
@@ -32,6 +37,12 @@ class TopK:
         self.floor = np.full(len(qids), -np.inf)
 
     def add(self, doc_ids: pa.Array, vectors: pa.Array) -> None:
+        """Offer documents, in slices whose score matrix stays small."""
+        step = max(1, _SCORES_AT_ONCE // len(self.qids))
+        for start in range(0, len(doc_ids), step):
+            self._add_slice(doc_ids.slice(start, step), vectors.slice(start, step))
+
+    def _add_slice(self, doc_ids: pa.Array, vectors: pa.Array) -> None:
         ids = np.array(doc_ids.to_pylist(), dtype=object)
         scores = np.round(self.units @ unit_rows(vectors).T, self.digits) + 0.0
         hopeful = scores >= self.floor[:, None]

@@ -18,6 +18,8 @@ from tallyloom.functions.topk import TopK, unit_rows
 from tallyloom.operators.selection import first_n, seeded_rank
 
 MIN_DEPTH = 100
+# Candidates (queries times depth) one task may hold at once.
+MAX_KEPT = 2_000_000
 # Fixed value: what a reranked score is raised by, so that heads stay above first-stage tails.
 HEAD_OFFSET = 1000.0
 
@@ -85,6 +87,8 @@ def cosine_topk(
             T.StructField("lane", T.IntegerType()),
         ]
     )
+    max_broadcast_queries = max(1, min(max_broadcast_queries, MAX_KEPT // depth))
+    block_queries = max(1, min(block_queries, MAX_KEPT // depth))
     spark = corpus.sparkSession
     lanes = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     head = queries.limit(max_broadcast_queries + 1).toArrow()

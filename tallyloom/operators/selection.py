@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-# A top-N up to this size runs as one TakeOrderedAndProject (a bounded queue per task).
-INLINE_LIMIT = 100_000
+from tallyloom.session import materialize
+
+# Up to this many rows are taken by a two-level top-N; beyond it the cut-off position is counted out first.
+INLINE_LIMIT = 1_000
 _BUCKETS = 65_536
 
 
@@ -43,24 +45,41 @@ def nth_smallest(keys: DataFrame, key: str, n: int) -> tuple[int, int] | None:
 
 
 def first_n(df: DataFrame, n: int | None, pos: str = "pos", tie_break: list[str] | None = None) -> DataFrame:
-    """The first ``n`` rows by ``pos`` (then ``tie_break``); all rows when ``n`` is None.
+    """The first ``n`` rows by ``pos`` (an integer column), then ``tie_break``; all rows when ``n`` is None.
 
-    A small ``n`` is a plain ordered limit. A large one first finds the cut-off position from counts alone and then
-    filters, so the kept rows stay spread over the cluster.
+    A small ``n`` is a top-N in two levels. A large one first writes the positions alone to the shared folder, finds the
+    cut-off among them by counting, and filters: the rows are read once more, with the cut-off pushed into the scan, and
+    stay spread over the cluster.
     """
     if n is None:
         return df
     order = [pos, *(tie_break or [])]
     if n <= INLINE_LIMIT:
-        return df.orderBy(*order).limit(n)
-    cut = nth_smallest(df.select(pos), pos, n)
+        return _top_n(df, order, n)
+    cut = nth_smallest(materialize(df.select(pos), "positions"), pos, n)
     if cut is None:
         return df
     value, below = cut
-    at_cut = df.filter(F.col(pos) == value).orderBy(*order).limit(n - below)
+    at_cut = _top_n(df.filter(F.col(pos) == value), order, n - below)
     return df.filter(F.col(pos) < value).unionByName(at_cut)
 
 
+def _top_n(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """Ordered limit that never sends every task's best rows to one task.
+
+    Tasks are folded into as many lanes as there are shuffle partitions, each lane keeps ``n`` rows (tasks cut to ``n``
+    before the shuffle), and the limit then merges the lanes.
+    """
+    lanes = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lane = W.Window.partitionBy("_lane").orderBy(*order)
+    kept = (
+        df.withColumn("_lane", F.spark_partition_id() % lanes)
+        .withColumn("_place", F.row_number().over(lane))
+        .filter(F.col("_place") <= n)
+    )
+    return kept.drop("_lane", "_place").orderBy(*order).limit(n)
+
+
 def seeded_rank(key: Column, seed: int) -> Column:
     """A 60-bit number that orders keys pseudo-randomly, the same on every run and partitioning."""
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), key.cast("string")), 256)

@@ -5,11 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.sources.readers import spread
+
 TURN_BITS = 20
 
 
+# The schemas of the given tables, so that no job is spent on reading them off a footer.
+SCHEMAS = {
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Document texts, one task per core at least, for the queries that compute on every character."""
+    return spread(table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def sft_raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,7 +72,7 @@ def prefs_raw(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cpt_raw(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(F.col("doc_id").alias("pos"), "text")
+    return documents(spark, folder).select(F.col("doc_id").alias("pos"), "text")
 
 
 def chunked_messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,7 +81,7 @@ def chunked_messages(spark: SparkSession, folder: str) -> DataFrame:
         F.split("text", "\n"), lambda line: F.struct(F.lit("text").alias("type"), line.alias("text"))
     )
     message = F.struct(F.lit("assistant").alias("role"), chunks.alias("content"))
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", F.parse_json(F.to_json(F.array(message))).alias("messages")
     )
 

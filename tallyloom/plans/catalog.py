@@ -134,12 +134,12 @@ def export_file_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def normalised_keys(spark: SparkSession, folder: str) -> DataFrame:
-    return B.table(spark, folder, "documents").select("doc_id", X.norm_key(F.col("text")).alias("norm_key"))
+    return B.documents(spark, folder).select("doc_id", X.norm_key(F.col("text")).alias("norm_key"))
 
 
 @query
 def trigram_scores(spark: SparkSession, folder: str) -> DataFrame:
-    documents = B.table(spark, folder, "documents")
+    documents = B.documents(spark, folder)
     return documents.select("doc_id", F.round(X.trigram_repetition(F.col("text")), 6).alias("score"))
 
 
@@ -185,7 +185,7 @@ def length_percentiles(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def duplicate_rate(spark: SparkSession, folder: str) -> DataFrame:
-    stats = quality.duplicate_stats(B.table(spark, folder, "documents"), X.norm_key_bytes(F.col("text")))
+    stats = quality.duplicate_stats(B.documents(spark, folder), X.norm_key_bytes(F.col("text")))
     return rounded(stats, "duplicate_fraction")
 
 

@@ -1,11 +1,13 @@
 """Readers with fixed schemas.
 
 Row order matters to a capped export, and Spark rows have none, so every source carries a BIGINT ``pos``. Take it from
-the data where there is one; ``with_file_order`` makes one from Parquet row numbers.
+the data where there is one; ``read_in_file_order`` makes one from Parquet row numbers.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ VECTORS = "id STRING, embedding ARRAY<FLOAT>"
 RERANK_SCORES = "qid STRING, doc_id STRING, score DOUBLE"
 
 _ROWS_PER_FILE_BITS = 38
+_FILES_PER_SCAN = 20_000
 
 
 def _read(spark: SparkSession, path: str | list[str], schema: str, fmt: str) -> DataFrame:
@@ -61,15 +64,30 @@ def read_retrieval(
     return _read(spark, corpus, CORPUS, fmt), _read(spark, queries, QUERIES, fmt), _read(spark, qrels, QRELS, fmt)
 
 
-def with_file_order(df: DataFrame, name: str = "pos") -> DataFrame:
-    """Adds a position to a plain Parquet scan: file by file in path order, row by row within a file.
+def spread(scan: DataFrame) -> DataFrame:
+    """Split a scan with fewer partitions than the session has cores (few files, or files that cannot be split).
+
+    For row-local work that costs far more than moving the rows once. A scan that is wide enough is left alone, so on
+    large inputs this adds nothing.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def read_in_file_order(spark: SparkSession, path: str | list[str], schema=None, name: str = "pos") -> DataFrame:
+    """A Parquet source with a position: file by file in path order, row by row within a file.
 
-    The position comes from the file's own row numbers, so it is the same whatever the splits and retries. The file list
-    is metadata the scan has already; it is joined as a small table.
+    The position comes from the file's own row numbers, so it is the same whatever the splits and retries. File names
+    are numbered in groups of bounded size, one scan per group, so the numbering is always a small broadcast join.
     """
-    spark = df.sparkSession
-    files = sorted(df.inputFiles())
-    ordinals = spark.createDataFrame(list(enumerate(files)), "_ordinal BIGINT, _file STRING")
-    located = df.select("*", F.input_file_name().alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    paths = [path] if isinstance(path, str) else path
+    files = sorted(spark.read.parquet(*paths).inputFiles())
     position = F.shiftleft(F.col("_ordinal"), _ROWS_PER_FILE_BITS) + F.col("_row")
-    return located.join(ordinals, "_file").withColumn(name, position).drop("_file", "_row", "_ordinal")
+    scans = []
+    for start in range(0, len(files), _FILES_PER_SCAN):
+        group = files[start : start + _FILES_PER_SCAN]
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        scan = reader.parquet(*group).select("*", F.input_file_name().alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        numbers = spark.createDataFrame(list(enumerate(group, start)), "_ordinal BIGINT, _file STRING")
+        scans.append(scan.join(numbers, "_file").withColumn(name, position).drop("_file", "_row", "_ordinal"))
+    return reduce(DataFrame.unionByName, scans)

@@ -20,7 +20,7 @@ def write_jsonl(
     *,
     order_by: str | None = "pos",
     drop: tuple[str, ...] = ("pos",),
-    max_rows_per_file: int = 1_000_000,
+    max_rows_per_file: int = 50_000,
     mode: str = "errorifexists",
 ) -> None:
     """One JSON object per line, UTF-8 as it is, missing values as explicit nulls.

@@ -153,14 +153,14 @@ def test_cap_takes_the_first_passing_rows(spark):
 
 @pytest.mark.parametrize("n", [0, 1, 2, 999, 5000, 9999, 10_000, 20_000])
 def test_large_caps_agree_with_a_plain_limit(spark, monkeypatch, n):
-    monkeypatch.setattr(selection, "INLINE_LIMIT", -1 if n else 0)
+    monkeypatch.setattr(selection, "INLINE_LIMIT", 1)
     df = spark.range(10_000).select((F.col("id") * F.col("id") * 37 - 10**9).alias("pos")).repartition(7)
     got = sorted(r.pos for r in selection.first_n(df, n).collect())
     assert got == sorted(i * i * 37 - 10**9 for i in range(10_000))[:n]
 
 
 def test_large_caps_with_ties(spark, monkeypatch):
-    monkeypatch.setattr(selection, "INLINE_LIMIT", -1)
+    monkeypatch.setattr(selection, "INLINE_LIMIT", 1)
     df = spark.range(1000).select((F.col("id") % 10).alias("pos"), "id").repartition(5)
     got = sorted((r.pos, r.id) for r in selection.first_n(df, 250, "pos", ["id"]).collect())
     assert got == sorted((i % 10, i) for i in range(1000))[:250]
@@ -205,10 +205,11 @@ def test_blank_lines_are_skipped_and_bad_lines_raise(spark, tmp_path):
         readers.read_export(spark, str(tmp_path / "bad.jsonl"), readers.CPT_EXPORT).collect()
 
 
-def test_file_order(spark, tmp_path):
+def test_file_order(spark, tmp_path, monkeypatch):
     for name, start in (("b", 100), ("a", 0)):
         spark.range(start, start + 40).coalesce(1).write.parquet(str(tmp_path / name))
-    df = readers.with_file_order(spark.read.parquet(str(tmp_path / "a"), str(tmp_path / "b")))
+    monkeypatch.setattr(readers, "_FILES_PER_SCAN", 1)
+    df = readers.read_in_file_order(spark, [str(tmp_path / "b"), str(tmp_path / "a")])
     assert [r.id for r in df.orderBy("pos").collect()] == [*range(40), *range(100, 140)]
     assert df.select("pos").distinct().count() == 80
 
