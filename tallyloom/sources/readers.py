@@ -74,6 +74,15 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
+def with_scan_order(scan: DataFrame, name: str = "pos") -> DataFrame:
+    """A position for line-based sources without one: the order in which the scan visits its files and lines.
+
+    It must be added to the scan itself. It is the same on every run over the same files, but files of different size
+    are not visited in name order; a source whose order matters across files should carry a position.
+    """
+    return scan.withColumn(name, F.monotonically_increasing_id())
+
+
 def read_in_file_order(spark: SparkSession, path: str | list[str], schema=None, name: str = "pos") -> DataFrame:
     """A Parquet source with a position: file by file in path order, row by row within a file.
 
