@@ -79,9 +79,7 @@ def _findings(spark: SparkSession, args) -> None:
 def _synthetic(spark: SparkSession, args) -> None:
     pairs = synthetic.synthetic_pairs(synthetic.question_numbers(spark, args.n), args.seed)
     writers.write_jsonl(pairs, f"{args.out}/synthetic.jsonl")
-    writers.write_document(
-        writers.export_descriptor(spark, {"synthetic": ("dpo", "synthetic.jsonl")}), f"{args.out}/dataset_info.json"
-    )
+    writers.write_descriptor(spark, {"synthetic": ("dpo", "synthetic.jsonl")}, f"{args.out}/dataset_info.json")
 
 
 def _compare_runs(spark: SparkSession, args) -> None:

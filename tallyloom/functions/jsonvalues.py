@@ -44,10 +44,13 @@ def display_text(value: Column) -> Column:
 
 
 def format_metric(number_col: Column, text_col: Column) -> Column:
-    """Whole numbers without decimals, other numbers with four, anything else verbatim."""
+    """Whole numbers without decimals, other numbers with four, anything else verbatim.
+
+    ``format_number`` rounds the number as it is in binary, ties to even; ``format_string`` would round its decimal text.
+    """
     whole = (number_col == F.floor(number_col)) & (F.abs(number_col) < 1e18)
     return (
         F.when(whole, number_col.cast("bigint").cast("string"))
-        .when(number_col.isNotNull(), F.format_string("%.4f", number_col))
+        .when(number_col.isNotNull(), F.call_function("format_number", number_col, F.lit("0.0000")))
         .otherwise(text_col)
     )

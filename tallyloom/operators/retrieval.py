@@ -64,6 +64,7 @@ def cosine_topk(
     depth: int,
     *,
     digits: int = 6,
+    ignore_identical_ids: bool = True,
     max_broadcast_queries: int = 4096,
     block_queries: int = 2048,
     block_docs: int = 50_000,
@@ -71,7 +72,8 @@ def cosine_topk(
     """``(qid, doc_id, score, rk)``: the ``depth`` most similar documents of every query, exactly.
 
     ``queries`` has ``qid, embedding`` and ``corpus`` has ``doc_id, embedding``. Scores are cosines rounded to
-    ``digits``, so that ranks do not hang on summation order; ties go to the smaller ``doc_id``.
+    ``digits``, so that ranks do not hang on summation order; ties go to the smaller ``doc_id``. A document whose id is
+    the query's is left out (``ignore_identical_ids``), for collections that are searched with their own members.
 
     Up to ``max_broadcast_queries`` query vectors travel to the executors, and the corpus is read once, unshuffled,
     as block matrix products that keep only each task's best. More queries than that are cut, like the corpus, into
@@ -89,13 +91,16 @@ def cosine_topk(
     )
     max_broadcast_queries = max(1, min(max_broadcast_queries, MAX_KEPT // depth))
     block_queries = max(1, min(block_queries, MAX_KEPT // depth))
+    kept = depth + int(ignore_identical_ids)  # ids are unique, so at most one document of a query falls away
     spark = corpus.sparkSession
     lanes = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     head = queries.limit(max_broadcast_queries + 1).toArrow()
     if head.num_rows <= max_broadcast_queries:
-        best = _search_broadcast(spark, head, corpus, out, depth, digits, lanes)
+        best = _search_broadcast(spark, head, corpus, out, kept, digits, lanes)
     else:
-        best = _search_blocks(queries, corpus, out, depth, digits, block_queries, block_docs, lanes)
+        best = _search_blocks(queries, corpus, out, kept, digits, block_queries, block_docs, lanes)
+    if ignore_identical_ids:
+        best = best.filter(F.col("qid").cast("string") != F.col("doc_id").cast("string"))
     # Two steps, so that no task ever ranks the candidates of one query from all tasks at once.
     best = _ranked(best, ["qid", "lane"], depth).drop("rk", "lane")
     return _ranked(best, ["qid"], depth).select("qid", "doc_id", "score", "rk")

@@ -70,10 +70,9 @@ def _finish_export(
         policy_version=recipe.policy_version,
         git_commit=git_commit,
     )
-    descriptor = writers.export_descriptor(spark, {role: (role, f"{role}.jsonl") for role in frames})
     manifest_path, descriptor_path = f"{out}/manifest.json", f"{out}/dataset_info.json"
     writers.write_document(document, manifest_path)
-    writers.write_document(descriptor, descriptor_path)
+    writers.write_descriptor(spark, {role: (role, f"{role}.jsonl") for role in frames}, descriptor_path)
     return ExportResult(paths, rows, manifest_path, descriptor_path)
 
 

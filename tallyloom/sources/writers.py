@@ -46,6 +46,21 @@ def export_descriptor(spark: SparkSession, exports: dict[str, tuple[str, str]])
     )
 
 
+def write_descriptor(spark: SparkSession, exports: dict[str, tuple[str, str]], path: str) -> None:
+    """The descriptor as the JSON mapping trainers read: one entry per export, absent fields left out."""
+    entries = []
+    for name, (kind, file) in exports.items():
+        formatting, ranking, columns = DESCRIPTORS[kind]
+        fields = {"file_name": F.lit(file)}
+        if formatting:
+            fields["formatting"] = F.lit(formatting)
+        if ranking:
+            fields["ranking"] = F.lit(True)
+        fields["columns"] = F.struct(*[F.lit(column).alias(role) for role, column in columns.items()])
+        entries.append(F.struct(*[value.alias(field) for field, value in fields.items()]).alias(name))
+    write_document(spark.range(1).select(*entries), path)
+
+
 def write_document(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """A one-row document (report, manifest, snapshot, comparison) or a few records as a single JSON file."""
     df.coalesce(1).write.mode(mode).option("ignoreNullFields", "false").json(path)

@@ -50,7 +50,16 @@ def test_export_text_in_file_order(spark, tmp_path):
 def test_synthetic(spark, tmp_path):
     assert main(["synthetic", "--n", "20", "--out", str(tmp_path / "s")]) == 0
     assert len(lines(tmp_path / "s" / "synthetic.jsonl")) == 20
-    assert lines(tmp_path / "s" / "dataset_info.json")[0]["ranking"] is True
+    assert lines(tmp_path / "s" / "dataset_info.json") == [
+        {
+            "synthetic": {
+                "file_name": "synthetic.jsonl",
+                "formatting": "alpaca",
+                "ranking": True,
+                "columns": {"prompt": "instruction", "query": "input", "chosen": "chosen", "rejected": "rejected"},
+            }
+        }
+    ]
 
 
 def test_runs(spark, tmp_path):

@@ -70,13 +70,20 @@ def test_quoting_leaves_text_alone(spark):
 
 @pytest.mark.parametrize(
     "number,text,expected",
-    [(1.0, "1.0", "1"), (0.25, "0.25", "0.2500"), (-2.0, "", "-2"), (None, "N/A", "N/A"), (0.33335, "", "0.3334"), (0.0, "", "0")],
+    [(1.0, "1.0", "1"), (0.25, "0.25", "0.2500"), (-2.0, "", "-2"), (None, "N/A", "N/A"), (1234.5, "", "1234.5000"), (0.0, "", "0")],
 )
 def test_format(spark, number, text, expected):
     df = spark.createDataFrame([(number, text)], "n DOUBLE, t STRING")
     assert df.select(format_metric(F.col("n"), F.col("t"))).first()[0] == expected
 
 
+def test_format_rounds_the_binary_value(spark):
+    numbers = [0.33335, 0.00015, 0.12345, 0.55625, 0.5 / 1024, 2.00005, -0.00006, 1e-9]  # a bare 5e-5 is a tie to Java
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(numbers)], "i INT, n DOUBLE").orderBy("i")
+    got = [r[0] for r in df.select(format_metric(F.col("n"), F.lit(""))).collect()]
+    assert got == [f"{n:.4f}" for n in numbers]
+
+
 def test_run_arguments():
     assert evaljson.parse_run_arguments([" a = /x=y.json ", "b=z"]) == {"a": "/x=y.json", "b": "z"}
     for bad in (["plain"], ["=x"], ["a="], ["a=1", "a=2"]):

@@ -77,6 +77,17 @@ def test_topk_of_nothing(spark, fixture):
     assert retrieval.cosine_topk(vectors(spark, "qid", q, qn), docs.limit(0), 5).count() == 0
 
 
+def test_a_document_with_the_querys_id_is_not_found(spark, fixture):
+    _, _, d, dn = fixture
+    docs = vectors(spark, "doc_id", d[600:700], dn[600:700])
+    asked = vectors(spark, "qid", d[600:605], dn[600:605])
+    got = found(retrieval.cosine_topk(asked, docs, 5))
+    expected = brute_force(d[600:605], dn[600:605], d[600:700], dn[600:700], 6)
+    assert got == {q: [x for x in best if x[0] != q][:5] for q, best in expected.items()}
+    with_self = found(retrieval.cosine_topk(asked, docs, 5, ignore_identical_ids=False))
+    assert with_self["d600"][0] == ("d600", 1.0)
+
+
 def test_depth_and_cutoffs():
     assert retrieval.search_depth(50) == 100 and retrieval.search_depth(1000) == 1000
     assert ranking.k_grid(50) == [1, 3, 5, 10, 50]
