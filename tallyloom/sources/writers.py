@@ -73,11 +73,13 @@ def read_document(spark: SparkSession, path: str, schema) -> DataFrame:
 def newest_files(spark: SparkSession, path: str, stem: str) -> DataFrame:
     """``(stem, path, modified)``: the most recently modified file of every stem.
 
-    ``stem`` is a regular expression whose first group is the stem of a file name. Only the file listing is read. Equal
-    times go to the later path.
+    ``stem`` is a regular expression over the whole path; its first group names the stem, and files it does not match are
+    left out. Only the file listing is read. Equal times go to the later path.
     """
-    listing = spark.read.format("binaryFile").load(path).select("path", "modificationTime")
-    named = listing.withColumn("stem", F.regexp_extract(F.substring_index("path", "/", -1), stem, 1))
+    listing = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "modificationTime")
+    )
+    named = listing.withColumn("stem", F.regexp_extract("path", stem, 1))
     newest = F.max_by(F.struct("path", "modificationTime"), F.struct("modificationTime", "path"))
     return (
         named.filter(F.col("stem") != "")

@@ -220,7 +220,7 @@ def test_newest_file_per_stem(spark, tmp_path):
     for name, when in (("run_a_1.json", 100), ("run_a_2.json", 300), ("run_a_3.json", 200), ("run_b_1.json", 5), ("x.txt", 9)):
         (tmp_path / name).write_text("{}")
         os.utime(tmp_path / name, (when, when))
-    found = {r.stem: r.path.rsplit("/", 1)[1] for r in writers.newest_files(spark, str(tmp_path), r"^(run_\w)_.*\.json$").collect()}
+    found = {r.stem: r.path.rsplit("/", 1)[1] for r in writers.newest_files(spark, str(tmp_path), r"/(run_\w)_[^/]*\.json$").collect()}
     assert found == {"run_a": "run_a_2.json", "run_b": "run_b_1.json"}
 
 
