@@ -20,6 +20,8 @@ from tallyloom.operators.selection import first_n, seeded_rank
 MIN_DEPTH = 100
 # Candidates (queries times depth) one task may hold at once.
 MAX_KEPT = 2_000_000
+# Query vectors sent to every task may not be larger than this.
+MAX_BROADCAST_BYTES = 64 << 20
 # Fixed value: what a reranked score is raised by, so that heads stay above first-stage tails.
 HEAD_OFFSET = 1000.0
 
@@ -95,7 +97,7 @@ def cosine_topk(
     spark = corpus.sparkSession
     lanes = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     head = queries.limit(max_broadcast_queries + 1).toArrow()
-    if head.num_rows <= max_broadcast_queries:
+    if head.num_rows <= max_broadcast_queries and head.nbytes <= MAX_BROADCAST_BYTES:
         best = _search_broadcast(spark, head, corpus, out, kept, digits, lanes)
     else:
         best = _search_blocks(queries, corpus, out, kept, digits, block_queries, block_docs, lanes)
