@@ -37,10 +37,10 @@ def eval_metrics(documents: DataFrame) -> DataFrame:
     """``(run, model_args, task, pos, metric, number, text)``: every metric of every task, in document order.
 
     ``number`` is NULL for anything that is not a finite number; ``text`` is the plain form of the value. Result entries
-    that are not objects are skipped. Keys are exploded, not addressed by path, because they contain commas.
+    that are not objects are skipped; a document that is not JSON is an error. Keys are exploded, not addressed by path, because they contain commas.
     """
     document = F.from_json(
-        J.quote_nonfinite(F.col("document")), "results MAP<STRING, STRING>, config STRING"
+        J.quote_nonfinite(F.col("document")), "results MAP<STRING, STRING>, config STRING", {"mode": "FAILFAST"}
     )
     config = F.col("d.config")
 

@@ -62,6 +62,18 @@ def test_model_args_fallbacks(spark, config, expected):
     assert df.first().model_args == expected
 
 
+@pytest.mark.parametrize("document", ['{"results": {"t": {"acc": 1}', "nothing", '{"results": 5}'])
+def test_a_broken_document_is_an_error(spark, document):
+    with pytest.raises(Exception, match="(?i)malformed"):
+        evaljson.eval_metrics(spark.createDataFrame([("r", document)], "run STRING, document STRING")).collect()
+
+
+@pytest.mark.parametrize("document", ["{}", '{"results": null}', '{"results": {}, "config": [1]}', '{"results": {"t": [1], "u": null}}'])
+def test_documents_without_metrics(spark, document):
+    df = spark.createDataFrame([("r", document)], "run STRING, document STRING")
+    assert evaljson.eval_metrics(df).collect() == []
+
+
 def test_quoting_leaves_text_alone(spark):
     raw = r'{"a": NaN, "b": "NaN, \"NaN\": NaN", "c": [Infinity, -Infinity, "\\"], "NaN": 1}'
     got = spark.createDataFrame([(raw,)], "s STRING").select(quote_nonfinite(F.col("s"))).first()[0]
