@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyloom.operators import evalruns, export, fingerprint, quality, ranking, synthetic
 from tallyloom.plans import jobs
 from tallyloom.plans.recipe import Recipe
+from tallyloom.session import materialize
 from tallyloom.sources import evaljson, readers, writers
 
 
@@ -103,7 +104,8 @@ def _compare_retrieval(spark: SparkSession, args) -> None:
     scores = spark.read.schema(readers.RERANK_SCORES).format(args.format).load(args.rerank_scores)
     compared = jobs.retrieval_comparison(
         args.dataset, queries, qrels, vectors(args.query_vectors, "qid"), vectors(args.doc_vectors, "doc_id"), scores, settings
-    ).checkpoint()
+    )
+    compared = materialize(compared, "comparison")
     parameters = jobs.comparison_parameters(
         spark, args.dataset, corpus.count(), settings, args.bi_encoder, args.cross_encoder
     )

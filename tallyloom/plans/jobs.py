@@ -41,7 +41,10 @@ def _finish_export(
     ordered: bool,
     git_commit: str | None,
 ) -> ExportResult:
-    """Write, fingerprint what was written, and describe it. Rows are computed once, by the write."""
+    """Write, fingerprint what was written, and describe it.
+
+    Rows are computed by the write; counts come from what was written, so an empty export is noticed after its write.
+    """
     paths = {role: f"{out}/{role}.jsonl" for role in frames}
     rows, sources, prints = {}, [], []
     for role, frame in frames.items():

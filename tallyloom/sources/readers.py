@@ -26,6 +26,7 @@ RERANK_SCORES = "qid STRING, doc_id STRING, score DOUBLE"
 
 _ROWS_PER_FILE_BITS = 38
 _FILES_PER_SCAN = 20_000
+_SPREAD = 32
 
 
 def _read(spark: SparkSession, path: str | list[str], schema: str, fmt: str) -> DataFrame:
@@ -68,10 +69,11 @@ def spread(scan: DataFrame) -> DataFrame:
     """Split a scan with fewer partitions than the session has cores (few files, or files that cannot be split).
 
     For row-local work that costs far more than moving the rows once. A scan that is wide enough is left alone, so on
-    large inputs this adds nothing.
+    large inputs this adds nothing; a small one is not cut finer than a few megabytes per task.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    partitions = scan.rdd.getNumPartitions()
+    return scan.repartition(min(cores, _SPREAD * partitions)) if 0 < partitions < cores else scan
 
 
 def with_scan_order(scan: DataFrame, name: str = "pos") -> DataFrame:
