@@ -28,19 +28,23 @@ def _ideal(qrels: DataFrame, on: list[str], ks: list[int]) -> DataFrame:
     """Per query: number of relevant documents and the best possible DCG at each cut-off.
 
     Judgements are first counted per grade (map-side combined), so a query that owns a third of all judgements is a few
-    counters. The ideal list is then rebuilt from the counts, no longer than the largest cut-off.
+    counters. The ideal list is rebuilt from the counts of the highest grades, no longer than the largest cut-off.
     """
+    depth = max(ks)
     grades = qrels.groupBy(*on, "rel").agg(F.count("*").alias("n"))
+    relevant = grades.groupBy(*on).agg(F.sum(F.when(F.col("rel") > 0, F.col("n")).otherwise(0)).alias("relevant"))
+    place = F.row_number().over(W.Window.partitionBy(*on).orderBy(F.desc("rel")))
+    highest = grades.filter(F.col("rel") > 0).withColumn("place", place).filter(F.col("place") <= depth)
     gains = F.flatten(
         F.transform(
-            F.sort_array(F.collect_list(F.when(F.col("rel") > 0, F.struct("rel", "n"))), asc=False),
-            lambda g: F.array_repeat(g["rel"].cast("double"), F.least(g["n"], F.lit(max(ks))).cast("int")),
+            F.sort_array(F.collect_list(F.struct("rel", "n")), asc=False),  # at most ``depth`` grades
+            lambda g: F.array_repeat(g["rel"].cast("double"), F.least(g["n"], F.lit(depth)).cast("int")),
         )
     )
-    per_query = grades.groupBy(*on).agg(
-        F.coalesce(F.sum(F.when(F.col("rel") > 0, F.col("n"))), F.lit(0)).alias("relevant"), gains.alias("gains")
+    per_query = relevant.join(highest.groupBy(*on).agg(gains.alias("gains")), on, "left").withColumn(
+        "gains", F.coalesce("gains", F.array().cast("array<double>"))
     )
-    terms = F.transform(F.col("gains"), lambda g, i: g / _discount(i + F.lit(1)))
+    terms = F.transform(F.slice("gains", 1, depth), lambda g, i: g / _discount(i + F.lit(1)))
 
     def best(k: int) -> Column:
         return F.aggregate(F.slice(F.col("terms"), 1, k), F.lit(0.0), lambda a, b: a + b)

@@ -163,6 +163,15 @@ def test_ideal_ranking_scores_one(spark):
     assert {r.ndcg for r in ranking.query_metrics(qrels, runs, [1, 10, 100]).collect()} == {1.0}
 
 
+def test_more_grades_than_the_cutoff(spark):
+    qrels = judgements(spark, [("q", f"d{i}", i) for i in range(40)])
+    runs = results(spark, [("s", "q", f"d{i}", float(i)) for i in range(39)])
+    got = ranking.query_metrics(qrels, runs, [1, 3]).orderBy("k").collect()
+    ideal = sum((39 - i) / math.log2(i + 2) for i in range(3))
+    assert [r.ndcg for r in got] == pytest.approx([38 / 39, sum((38 - i) / math.log2(i + 2) for i in range(3)) / ideal])
+    assert got[1].recall == pytest.approx(3 / 39)
+
+
 def ranked(spark):
     return spark.createDataFrame(
         [("q", "d1", 0.9, 1), ("q", "d2", 0.8, 2), ("q", "d3", 0.7, 3)], "qid STRING, doc_id STRING, score DOUBLE, rk INT"
