@@ -2,8 +2,8 @@
 
 A page becomes a tree of block elements; inline markup belongs to the block around it. Every node that holds text gets
 features of its tag, attribute words, subtree density, depth and siblings. The trees give the probability that a node
-holds main text. Decoding takes the most probable labelling in which nothing below a dropped node is kept, so an
-ancestor and a descendant never contradict each other.
+holds main text, given that its parent does. Decoding takes the most probable labelling in which nothing below a
+dropped node is kept, so an ancestor and a descendant never contradict each other.
 
 The trees are trained by Spark ML on generated pages (``TRAINING_PAGES`` of them); a task parses and scores whole pages,
 one Arrow batch at a time.
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.pagegen import Writer
 
-TRAINING_PAGES = 600
-TREES, DEPTH, STEP_SIZE = 24, 5, 0.3
+TRAINING_PAGES = 500
+TREES, DEPTH, STEP_SIZE = 14, 5, 0.4
 BATCH_CHARS = 4_000_000
 
 # Elements without content, with raw content, and inline elements of HTML.
@@ -52,6 +52,7 @@ TOKENS = {
     "comment": "comments comment reply replies discussion disqus responses respond",
     "social": "share social sharing follow",
 }
+INHERITED = ("main", "nav", "header", "footer", "aside", "form", "list", "table")
 _TAG_GROUP = {t: i for i, ts in enumerate(GROUPS.values()) for t in ts.split()}
 _TOKEN_GROUP = {t: i for i, ts in enumerate(TOKENS.values()) for t in ts.split()}
 _MARKUP = re.compile(
@@ -62,7 +63,7 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "depth", "tokens", "keep", "children", "chars", "links", "commas", "blocks", "first", "place")
+    __slots__ = ("tag", "parent", "depth", "tokens", "keep", "children", "chars", "links", "commas", "signs", "blocks", "first", "place")
 
     def __init__(self, tag: str, parent: "Node | None", attrs: str):
         self.tag, self.parent = tag, parent
@@ -74,7 +75,7 @@ class Node:
                 if w in _TOKEN_GROUP:
                     self.tokens |= 1 << _TOKEN_GROUP[w]
         self.children: list[Node] = []
-        self.chars = self.links = self.commas = self.blocks = 0
+        self.chars = self.links = self.commas = self.signs = self.blocks = 0
         self.first, self.place = 0, 0
 
 
@@ -95,6 +96,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
                 node.chars += len(text)
                 node.links += min(linked, len(text))
                 node.commas += text.count(",") + text.count(".")
+                node.signs += sum(map(text.count, "©|·»"))
                 node.blocks += 1
                 blocks.append((node, text))
             pending, linked = [], 0
@@ -180,7 +182,8 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
     return root, blocks
 
 
-FEATURE_COUNT = len(GROUPS) + 2 * len(TOKENS) + 17
+_GROUP_NAMES = list(GROUPS)
+FEATURE_COUNT = len(GROUPS) + 2 * len(TOKENS) + len(INHERITED) + 18
 
 
 def features(root: Node) -> tuple[list[Node], np.ndarray]:
@@ -191,36 +194,39 @@ def features(root: Node) -> tuple[list[Node], np.ndarray]:
         n = stack.pop()
         order.append(n)
         stack.extend(reversed(n.children))
-    below = {id(n): [n.chars, n.links, n.commas, n.blocks, 1, n.chars] for n in order}
+    below = {id(n): [n.chars, n.links, n.commas, n.blocks, 1, n.signs, n.chars] for n in order}
     for n in reversed(order):
         if n.parent is not None:
             up, own = below[id(n.parent)], below[id(n)]
-            for i in range(5):
+            for i in range(6):
                 up[i] += own[i]
-            up[5] = max(up[5], own[5])
+            up[6] = max(up[6], own[6])
     page = below[id(root)]
     kept = [n for n in order if below[id(n)][0] > 0]
     rows = np.zeros((len(kept), FEATURE_COUNT), np.float32)
     inherited: dict[int, int] = {}
-    g, t = len(GROUPS), len(TOKENS)
+    g, t, a = len(GROUPS), len(TOKENS), len(INHERITED)
+    bits = {_GROUP_NAMES.index(name): 1 << (t + k) for k, name in enumerate(INHERITED)}
     for i, n in enumerate(kept):
-        chars, links, commas, blocks, nodes, longest = below[id(n)]
+        chars, links, commas, blocks, nodes, signs, longest = below[id(n)]
         above = inherited[id(n.parent)] if n.parent is not None else 0
-        inherited[id(n)] = above | n.tokens
+        inherited[id(n)] = above | n.tokens | bits.get(_TAG_GROUP.get(n.tag, -1), 0)
         if n.tag in _TAG_GROUP:
             rows[i, _TAG_GROUP[n.tag]] = 1
         for k in range(t):
             rows[i, g + k] = n.tokens >> k & 1
             rows[i, g + t + k] = above >> k & 1
+        for k in range(a):
+            rows[i, g + 2 * t + k] = above >> (t + k) & 1
         siblings = n.parent.children if n.parent is not None else [n]
         around = sum(below[id(s)][0] for s in siblings) - chars
         before = below[id(siblings[n.place - 1])] if n.place > 0 else None
         after = below[id(siblings[n.place + 1])] if n.parent is not None and n.place + 1 < len(siblings) else None
         parent = below[id(n.parent)] if n.parent is not None else page
-        rows[i, g + 2 * t :] = (
+        rows[i, g + 2 * t + a :] = (
             np.log1p(chars), links / chars, chars / nodes, chars / blocks, commas / chars, np.log1p(longest), n.depth, len(n.children), n.place,
             len(siblings), np.log1p(around / max(1, len(siblings) - 1)), np.log1p(before[0]) if before else -1, np.log1p(after[0]) if after else -1,
-            chars / page[0], chars / max(1, parent[0]), n.first / page[3], n.chars / chars,
+            chars / page[0], chars / max(1, parent[0]), n.first / page[3], n.chars / chars, signs / blocks,
         )
     return kept, rows
 
@@ -273,18 +279,18 @@ class Forest:
 
 
 def decode(nodes: list[Node], logits: np.ndarray) -> list[bool]:
-    """The most probable labelling in which everything below a dropped node is dropped. The document node is kept if
-    anything is."""
+    """The most probable labelling in which everything below a dropped node is dropped.
+
+    A dropped subtree costs what dropping its topmost node costs; a kept node costs itself and the better choice for
+    each child, so a doubtful container is kept for the sake of sure descendants."""
     keep_cost, drop_cost = np.logaddexp(0, -logits), np.logaddexp(0, logits)
     place = {id(n): i for i, n in enumerate(nodes)}
-    best, dropped = keep_cost.copy(), drop_cost.copy()
+    best = keep_cost.copy()
     for i in range(len(nodes) - 1, 0, -1):
-        up = place[id(nodes[i].parent)]
-        best[up] += min(best[i], dropped[i])
-        dropped[up] += dropped[i]
+        best[place[id(nodes[i].parent)]] += min(best[i], drop_cost[i])
     kept = [False] * len(nodes)
     for i, n in enumerate(nodes):
-        kept[i] = (i == 0 or kept[place[id(n.parent)]]) and best[i] < dropped[i]
+        kept[i] = (i == 0 or kept[place[id(n.parent)]]) and best[i] < drop_cost[i]
     return kept
 
 
@@ -295,11 +301,14 @@ def train(spark: SparkSession, pages: int = TRAINING_PAGES) -> Forest:
         for batch in batches:
             for seed in batch.column(0).to_pylist():
                 nodes, x = features(parse(Writer(seed).page())[0])
-                y = labels(nodes).astype(np.float64)
+                y = labels(nodes)
+                above = {id(n): bool(k) for n, k in zip(nodes, y, strict=True)}
+                open_ = np.array([n.parent is not None and above[id(n.parent)] for n in nodes], bool)
+                x, y = x[open_], y[open_].astype(np.float64)
                 yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.float64).tolist(), pa.list_(pa.float64())), pa.array(y)], ["x", "label"])
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    data = spark.range(0, pages, 1, min(8, parts)).mapInArrow(rows, "x array<double>, label double")
+    data = spark.range(0, pages, 1, min(4, parts)).mapInArrow(rows, "x array<double>, label double")
     data = data.select(array_to_vector("x").alias("features"), "label").cache()
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP_SIZE, maxBins=32, seed=1).fit(data)
     forest = Forest(model)

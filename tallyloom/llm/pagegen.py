@@ -104,7 +104,7 @@ class Writer:
         elif part == "header":
             inner = self.pick([f"<h1>{self.words(1, 3)}</h1>", f"<a href='/'>{self.words(1, 2)}</a>", f"<p>{self.words(2, 6)}</p>"])
         elif part == "footer":
-            inner = self.pick([f"&copy; {self.words(2, 12)}", f"<p>&copy; 2024 {self.words(2, 9)}</p>" + self.links(2, 5), self.links(3, 8)])
+            inner = self.pick([f"&copy; {self.words(2, 12)}", f"&copy; example.com &middot; {self.words(2, 20)}", f"<p>&copy; 2024 {self.words(2, 9)}</p>" + self.links(2, 5), self.links(3, 8)])
         elif part == "side":
             inner = f"<h3>{self.words(1, 4)}</h3>" + self.pick([self.links(3, 8), f"<p>{self.words(5, 30)}</p>" + self.links(1, 3)])
         elif part == "ad":
@@ -125,7 +125,7 @@ class Writer:
         """Main parts carry the attribute ``data-keep``, which the features never see."""
         head = f"<!DOCTYPE html><html><head><title>{self.words(2, 8)}</title><style>p{{margin:0}}</style><script>var t='</p>';</script></head><body>"
         body = [f"<h1 data-keep>{self.words(2, 12)}</h1>"] if self.chance(0.8) else []
-        for _ in range(int(self.rng.integers(1, self.pick([4, 12, 40])))):
+        for _ in range(int(self.rng.integers(1, self.pick([3, 4, 12, 40])))):
             piece = self.listing() if self.chance(0.06) else self.paragraph()
             body.append(piece.replace(">", " data-keep>", 1))
             if self.chance(0.05):
