@@ -91,8 +91,8 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     tables = np.zeros((len(names), SLICES, FEATURES // SLICES))
     for r in rows:
         tables[names.index(r.lang), r.slice] = np.frombuffer(r.counts, np.int64)
-    tables = tables.reshape(len(names), len(NGRAMS), -1) + SMOOTHING
-    return names, (tables / tables.sum(axis=2, keepdims=True)).reshape(len(names), -1).T.astype(np.float32)
+    tables = tables.reshape(len(names), len(NGRAMS), 1 << FEATURE_BITS) + SMOOTHING
+    return names, (tables / tables.sum(axis=2, keepdims=True)).reshape(len(names), FEATURES).T.astype(np.float32)
 
 
 def _estimate(like: np.ndarray, count: np.ndarray, starts: np.ndarray, owner: np.ndarray, total: np.ndarray, share: np.ndarray, steps: int):

@@ -126,7 +126,7 @@ def mix(docs: DataFrame, id_col: str, members: Column, text_col: str, seed: str
         for s in p:
             sizes[s] += words
     wanted = targets(dict(sizes))
-    flow = route(patterns, {s: round(t) for s, t in wanted.items()})
+    flow = route(patterns, {s: int(t + 0.5) for s, t in wanted.items()})
     plan = []
     for p, words in patterns.items():
         taken = sum(flow[p].values())
