@@ -137,9 +137,9 @@ def _parser() -> argparse.ArgumentParser:
 
     sub = command("export-text", _export_text, source=True)
     sub.add_argument("--text", required=True)
-    sub.add_argument("--max-docs", type=int, default=20_000)
+    sub.add_argument("--max-docs", type=int)
     sub.add_argument("--min-chars", type=int, default=80)
-    sub.add_argument("--max-chars", type=int, default=8000)
+    sub.add_argument("--max-chars", type=int)
 
     command("quality", _quality).add_argument("--export", required=True)
 

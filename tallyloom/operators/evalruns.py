@@ -68,3 +68,13 @@ def compare_runs(picked: DataFrame, runs: list[str]) -> DataFrame:
     return wide.withColumn(
         "delta_last_minus_first", F.col(f"`{last}_value`") - F.col(f"`{first}_value`")
     ).withColumn("same_metric", F.col(f"`{last}_metric`") == F.col(f"`{first}_metric`"))
+
+
+def seed_statistics(picked: DataFrame) -> DataFrame:
+    """``(id, task, n_seeds, mean, spread)`` over runs named ``<id>_seed<s>``: the mean and the sample standard deviation,
+    which is NULL for one seed. Runs without a seed in their name are left out."""
+    pattern = r"^(.+)_seed([0-9]+)$"
+    seeds = picked.filter(F.col("run").rlike(pattern)).select(F.regexp_extract("run", pattern, 1).alias("id"), "task", "value")
+    return seeds.groupBy("id", "task").agg(
+        F.count("value").alias("n_seeds"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("spread")
+    )

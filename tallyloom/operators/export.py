@@ -93,10 +93,14 @@ def cpt_rules(min_chars: int = 80) -> Rules:
     return [("too_short", F.length("text") < min_chars)]
 
 
-def cpt_corpus(raw: DataFrame, min_chars: int = 80, max_chars: int = 8000, cap: int | None = 20_000) -> DataFrame:
-    """``(pos, text)``: stripped, long enough, then cut to ``max_chars`` code points."""
+def cpt_corpus(
+    raw: DataFrame, min_chars: int = 80, max_chars: int | None = None, cap: int | None = None
+) -> DataFrame:
+    """``(pos, text)``: stripped, long enough, then cut to ``max_chars`` code points if that is asked for."""
     kept = _keep(project_cpt(raw), cpt_rules(min_chars))
-    return first_n(kept.withColumn("text", X.truncate(F.col("text"), max_chars)), cap)
+    if max_chars is not None:
+        kept = kept.withColumn("text", X.truncate(F.col("text"), max_chars))
+    return first_n(kept, cap)
 
 
 # --- shared -----------------------------------------------------------------------------------------------------

@@ -60,14 +60,17 @@ def query_metrics(
     ``qrels`` has ``qid, doc_id, rel``; ``results`` has ``system, qid, doc_id, score``; a ``dataset`` column, if both
     have one, scopes the query ids. Gains are linear with a log2 discount, the ideal is taken over all judgements of the
     query, MAP and recall divide by all relevant documents, precision divides by ``k``. A document whose id equals the
-    query's is not a result (``ignore_identical_ids``).
+    query's is not a result (``ignore_identical_ids``). Of repeated judgements of one pair the highest counts, and of
+    repeated results the best score.
     """
     scope = [c for c in ("dataset",) if c in qrels.columns and c in results.columns]
     on = [*scope, "qid"]
+    qrels = qrels.groupBy(*on, "doc_id").agg(F.max("rel").alias("rel"))
     keys = [*scope, "system", "qid"]
     if ignore_identical_ids:
         results = results.filter(F.col("qid").cast("string") != F.col("doc_id").cast("string"))
-    ranked = rank_results(results.select(*keys, "doc_id", "score"), max(ks), tuple(keys)).select(*keys, "doc_id", "rk")
+    results = results.groupBy(*keys, "doc_id").agg(F.max("score").alias("score"))
+    ranked = rank_results(results, max(ks), tuple(keys)).select(*keys, "doc_id", "rk")
 
     # Only hits contribute to a sum, so an inner join is enough and either side may be the broadcast one.
     hits = ranked.join(qrels.filter(F.col("rel") > 0).select(*on, "doc_id", "rel"), [*on, "doc_id"])

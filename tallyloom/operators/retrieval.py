@@ -24,6 +24,7 @@ MAX_KEPT = 2_000_000
 MAX_BROADCAST_BYTES = 64 << 20
 # Fixed value: what a reranked score is raised by, so that heads stay above first-stage tails.
 HEAD_OFFSET = 1000.0
+LEAST_SECOND = -999.0  # fixed value: scores at or below it would reach the tail
 
 
 # --- inputs -----------------------------------------------------------------------------------------------------
@@ -55,6 +56,12 @@ def passages(corpus: DataFrame) -> DataFrame:
 # --- exact cosine top-k -----------------------------------------------------------------------------------------
 
 
+def _with_vectors(rows: DataFrame, key: str) -> DataFrame:
+    """Ids and vectors; a missing vector is an error, since the row would silently leave every mean."""
+    missing = F.raise_error(F.concat(F.lit("no vector for "), F.col(key).cast("string"))).cast(rows.schema["embedding"].dataType)
+    return rows.select(key, F.coalesce("embedding", missing).alias("embedding"))
+
+
 def search_depth(top_k: int) -> int:
     """Results kept per query: never fewer than 100, because that cut-off is always evaluated."""
     return max(MIN_DEPTH, top_k)
@@ -81,8 +88,7 @@ def cosine_topk(
     as block matrix products that keep only each task's best. More queries than that are cut, like the corpus, into
     hash blocks of bounded size, and every pair of blocks is one task-sized product.
     """
-    queries = queries.select("qid", "embedding").filter(F.col("embedding").isNotNull())
-    corpus = corpus.select("doc_id", "embedding").filter(F.col("embedding").isNotNull())
+    queries, corpus = _with_vectors(queries, "qid"), _with_vectors(corpus, "doc_id")
     out = T.StructType(
         [
             T.StructField("qid", queries.schema["qid"].dataType),
@@ -197,11 +203,18 @@ def merge_rerank(ranked: DataFrame, rerank_scores: DataFrame, pool: int) -> Data
     """``(qid, doc_id, score, rk)`` after reranking the first ``pool`` results of each query.
 
     A head's score becomes 1000 plus its second-stage score, the tail keeps its own. A head without a second-stage
-    score is an error. With an empty pool the first-stage ranking is returned as it is.
+    score is an error, and so are two scores of one pair and a score that would sink a head below a tail. With an empty pool the first-stage ranking is returned as it is.
     """
-    second = rerank_scores.select("qid", "doc_id", F.col("score").alias("second"))
+    pair = F.concat(F.col("qid").cast("string"), F.lit(" / "), F.col("doc_id").cast("string"))
+    second = rerank_scores.groupBy("qid", "doc_id").agg(F.max("score").alias("second"), F.count("*").alias("given"))
+    wrong = (
+        F.when(F.col("given") > 1, F.raise_error(F.concat(F.lit("repeated rerank score for "), pair)).cast("double"))
+        .when(F.col("second") <= LEAST_SECOND, F.raise_error(F.concat(F.lit("rerank score too low for "), pair)).cast("double"))
+        .otherwise(F.col("second"))
+    )
+    second = second.select("qid", "doc_id", wrong.alias("second"))
     head = F.col("rk") <= pool
-    missing = F.raise_error(F.concat(F.lit("no rerank score for "), F.col("qid"), F.lit(" / "), F.col("doc_id")))
+    missing = F.raise_error(F.concat(F.lit("no rerank score for "), pair))
     raised = F.lit(HEAD_OFFSET) + F.coalesce(F.col("second"), missing.cast("double"))
     merged = ranked.join(second, ["qid", "doc_id"], "left").select(
         "qid", "doc_id", F.when(head, raised).otherwise(F.col("score")).alias("score")

@@ -4,83 +4,75 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import window as W
 
 from tallyloom.session import materialize
 
-# Up to this many rows are taken by a two-level top-N; beyond it the cut-off position is counted out first.
-INLINE_LIMIT = 1_000
-_BUCKETS = 65_536
+_UNHASHED = (T.MapType, T.VariantType)
 
 
-def nth_smallest(keys: DataFrame, key: str, n: int) -> tuple[int, int] | None:
-    """The n-th smallest value of a BIGINT column and the number of rows strictly below it; None if rows < n.
-
-    Each round counts rows per bucket of the remaining value range (map-side combined, at most 65,536 buckets) and
-    narrows to the bucket that holds the n-th row, so a 64-bit range needs at most four rounds of one small row each.
-    """
-    bounds = keys.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(key).alias("rows")).first()
-    if bounds["rows"] < n:
-        return None
-    lo, hi, below = bounds["lo"], bounds["hi"], 0
-    while lo < hi:
-        width = -(-(hi - lo + 1) // _BUCKETS)
-        counts = (
-            keys.filter(F.col(key).between(lo, hi))
-            .groupBy(F.expr(f"(`{key}` - {lo}L) div {width}L").alias("bucket"))
-            .count()
-        )
-        running = F.sum("count").over(W.Window.orderBy("bucket"))  # at most 65,536 rows
-        hit = (
-            counts.withColumn("upto", running)
-            .filter(F.col("upto") >= n - below)
-            .orderBy("bucket")
-            .select("bucket", (F.col("upto") - F.col("count")).alias("before"))
-            .first()
-        )
-        lo = lo + hit["bucket"] * width
-        hi = min(hi, lo + width - 1)
-        below += hit["before"]
-    return lo, below
+def _ties(df: DataFrame, tie_break: list[str] | None) -> list[Column]:
+    """What orders rows of one position: the stated keys, then a hash of the row, so only equal rows are left equal."""
+    hashed = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, _UNHASHED)]
+    return [*[F.col(c) for c in tie_break or []], F.xxhash64(*hashed)]
 
 
 def first_n(df: DataFrame, n: int | None, pos: str = "pos", tie_break: list[str] | None = None) -> DataFrame:
-    """The first ``n`` rows by ``pos`` (an integer column), then ``tie_break``; all rows when ``n`` is None.
+    """The first ``n`` rows by ``pos``, then ``tie_break``, then row content; all rows when ``n`` is None.
 
-    A small ``n`` is a top-N in two levels. A large one first writes the positions alone to the shared folder, finds the
-    cut-off among them by counting, and filters: the rows are read once more, with the cut-off pushed into the scan, and
-    stay spread over the cluster.
+    One way for every ``n``: the order keys alone are laid out in ranges and written to the shared folder, rows per range
+    are counted, and the key of the n-th row is looked up in its range. The rows are then filtered by that key, which
+    reaches the scan, and stay spread over the cluster. A NULL position is an error.
     """
     if n is None:
         return df
-    order = [pos, *(tie_break or [])]
-    if n <= INLINE_LIMIT:
-        return _top_n(df, order, n)
-    cut = nth_smallest(materialize(df.select(pos), "positions"), pos, n)
-    if cut is None:
-        return df
-    value, below = cut
-    at_cut = _top_n(df.filter(F.col(pos) == value), order, n - below)
-    return df.filter(F.col(pos) < value).unionByName(at_cut)
+    missing = F.raise_error(F.lit(f"a row has no {pos}")).cast(df.schema[pos].dataType)
+    checked = df.withColumn(pos, F.coalesce(F.col(pos), missing)) if df.schema[pos].nullable else df
+    if n <= 0:
+        return checked.limit(0)
+    ties = _ties(df, tie_break)
+    names = ["_pos", *[f"_tie{i}" for i in range(len(ties))]]
+    keys = checked.select(F.col(pos).alias("_pos"), *[t.alias(name) for t, name in zip(ties, names[1:], strict=True)])
+    ranged = materialize(keys.repartitionByRange(*names).withColumn("_range", F.spark_partition_id()), "positions")
+    before = 0
+    for row in ranged.groupBy("_range").agg(F.count("*").alias("rows")).orderBy("_range").collect():  # one line per range
+        if before + row["rows"] >= n:
+            break
+        before += row["rows"]
+    else:
+        return checked
+    in_range = ranged.filter(F.col("_range") == row["_range"])
+    cut = in_range.orderBy(*names).offset(n - before - 1).limit(1).drop("_range").first()
+    values = [F.lit(v).cast(f.dataType) for v, f in zip(cut, keys.schema, strict=True)]
+    columns = [F.col(pos), *ties]
+    same = F.lit(True)
+    smaller = F.lit(False)
+    for column, value in zip(columns, values, strict=True):
+        smaller = smaller | (same & _before(column, value))
+        same = same & column.eqNullSafe(value)
+    lower = F.lit(False)
+    alike = F.lit(True)
+    for name, value in zip(names, values, strict=True):
+        lower = lower | (alike & _before(F.col(name), value))
+        alike = alike & F.col(name).eqNullSafe(value)
+    left = n - before - in_range.filter(lower).count()
+    source = df.filter(F.col(pos) <= values[0])
+    return source.filter(smaller).unionByName(source.filter(same).limit(left))
 
 
-def _top_n(df: DataFrame, order: list[str], n: int) -> DataFrame:
-    """Ordered limit that never sends every task's best rows to one task.
-
-    Tasks are folded into as many lanes as there are shuffle partitions, each lane keeps ``n`` rows (tasks cut to ``n``
-    before the shuffle), and the limit then merges the lanes.
-    """
-    lanes = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lane = W.Window.partitionBy("_lane").orderBy(*order)
-    kept = (
-        df.withColumn("_lane", F.spark_partition_id() % lanes)
-        .withColumn("_place", F.row_number().over(lane))
-        .filter(F.col("_place") <= n)
-    )
-    return kept.drop("_lane", "_place").orderBy(*order).limit(n)
+def _before(column: Column, value: Column) -> Column:
+    """Ascending order with NULLs first."""
+    return F.coalesce(column < value, column.isNull() & value.isNotNull())
 
 
 def seeded_rank(key: Column, seed: int) -> Column:
     """A 60-bit number that orders keys pseudo-randomly, the same on every run and partitioning."""
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), key.cast("string")), 256)
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
+def stable_fraction(df: DataFrame, key: str, share: float, seed: int = 0) -> DataFrame:
+    """Rows whose key hashes below ``share``: the same rows on every run and partitioning, each key all or nothing.
+    Rows without a key are left out."""
+    return df.filter(seeded_rank(F.col(key), seed) < int(share * (1 << 60)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import text as X
 from tallyloom.functions.messages import last_assistant
-from tallyloom.operators import evalruns, export, fingerprint, quality, ranking, retrieval, synthetic
+from tallyloom.operators import curate, evalruns, export, fingerprint, quality, ranking, retrieval, selection, synthetic
 from tallyloom.plans import bindings as B
 from tallyloom.plans import jobs
 from tallyloom.session import materialize, scratch_path
@@ -19,6 +19,10 @@ from tallyloom.sources import evaljson, readers, writers
 SFT_MIN, SFT_MAX = 200, 1500
 DPO_MIN, DPO_MAX = 300, 3000
 SFT_CAP, DPO_CAP, CPT_CAP = 100, 50, 500
+CPT_MAX = 8000
+EVENT_CAP = 1500
+SHARE, FRACTION_SEED = 0.5, 7
+LANG_QUOTA, BALANCE_SEED = 150, 3
 MAX_QUERIES, QUERY_SEED = 100, 0
 SEARCH = jobs.RetrievalSettings(top_k=100, rerank_pool=20)
 SFT_COLUMNS = ["instruction", "input", "output"]
@@ -62,12 +66,12 @@ def dpo_first_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def cpt_corpus(spark: SparkSession, folder: str) -> DataFrame:
-    return export.cpt_corpus(B.cpt_raw(spark, folder), cap=None)
+    return export.cpt_corpus(B.cpt_raw(spark, folder), max_chars=CPT_MAX)
 
 
 @query
 def cpt_first_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return export.cpt_corpus(B.cpt_raw(spark, folder), cap=CPT_CAP)
+    return export.cpt_corpus(B.cpt_raw(spark, folder), max_chars=CPT_MAX, cap=CPT_CAP)
 
 
 @query
@@ -355,6 +359,56 @@ def eval_comparison(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(compared, *[f"{r}_value" for r in B.EVAL_RUNS], "delta_last_minus_first")
 
 
+# --- curation ---------------------------------------------------------------------------------------------------
+
+
+@query
+def event_first_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """A cap of more than a thousand rows, over positions with ties (users) that the event id breaks."""
+    events = B.table(spark, folder, "events").select("user_id", "event_id")
+    return selection.first_n(events, EVENT_CAP, "user_id", ["event_id"])
+
+
+@query
+def deduplicated_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return curate.deduplicate(B.documents(spark, folder), X.norm_key_bytes(F.col("text")), "doc_id").select("doc_id")
+
+
+@query
+def half_of_documents(spark: SparkSession, folder: str) -> DataFrame:
+    documents = B.table(spark, folder, "documents").select("doc_id", "lang")
+    return selection.stable_fraction(documents, "doc_id", SHARE, FRACTION_SEED)
+
+
+@query
+def balanced_languages(spark: SparkSession, folder: str) -> DataFrame:
+    documents = B.table(spark, folder, "documents").select("doc_id", "lang")
+    return curate.balance(documents, "lang", "doc_id", LANG_QUOTA, BALANCE_SEED)
+
+
+@query
+def arm_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents against those that deduplication leaves."""
+
+    def findings(rows: DataFrame) -> DataFrame:
+        report = quality.length_report(rows.select("text"), F.length("text"))
+        return quality.findings_long(report, "documents")
+
+    rows = B.documents(spark, folder)
+    kept = curate.deduplicate(rows, X.norm_key_bytes(F.col("text")), "doc_id")
+    compared = curate.compare_arms({"before": findings(rows), "after": findings(kept)}, ("metric",))
+    return rounded(compared, "before", "after", "delta")
+
+
+@query
+def seed_spread(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean length per source as the metric of a run, languages as recipes, document numbers as seeds."""
+    run = F.concat("lang", F.lit("_seed"), (F.col("doc_id") % 3).cast("string"))
+    documents = B.table(spark, folder, "documents").select(run.alias("run"), F.col("source").alias("task"), "n_chars")
+    picked = documents.groupBy("run", "task").agg(F.avg("n_chars").alias("value"))
+    return rounded(evalruns.seed_statistics(picked), "mean", "spread")
+
+
 # --- generated pairs --------------------------------------------------------------------------------------------
 
 

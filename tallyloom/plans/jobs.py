@@ -113,12 +113,12 @@ def export_raw_text(
     source: Source = Source(),
     recipe_id: str = "cpt",
     min_chars: int = 80,
-    max_chars: int = 8000,
-    max_docs: int | None = 20_000,
+    max_chars: int | None = None,
+    max_docs: int | None = None,
     ordered: bool = True,
 ) -> ExportResult:
     """Raw-text export for continued pretraining. An empty result is always an error here."""
-    recipe = Recipe(recipe_id, min_chars, max_chars, sources={"cpt": source})
+    recipe = Recipe(recipe_id, min_chars, max_chars or export.NO_UPPER_BOUND, sources={"cpt": source})
     frames = {"cpt": export.cpt_corpus(raw, min_chars, max_chars, max_docs)}
     return _finish_export(spark, out, {"cpt": raw}, frames, recipe, False, ordered, None)
 

@@ -29,6 +29,10 @@ def _row_hash(*cols: str) -> str:
     return f"CAST('0x' || substr(sha256({text}), 1, 15) AS BIGINT)"
 
 
+def _seeded(seed: int) -> str:
+    return f"CAST('0x' || substr(sha256('{seed}:' || doc_id), 1, 15) AS BIGINT)"
+
+
 def _literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -253,6 +257,23 @@ ORACLE: dict[str, str] = {
     "chunked_content": f"SELECT doc_id, replace(text, {_NL}, '') AS content FROM documents",
     "jsonl_round_trip": f"{_ALL} SELECT instruction, input, chosen, rejected FROM dpo",
     "export_file_rows": f"{_ALL} SELECT count(*) AS rows, CAST(64 AS INTEGER) AS hash_length FROM cpt",
+    "event_first_rows": f"SELECT user_id, event_id FROM events ORDER BY user_id, event_id LIMIT {C.EVENT_CAP}",
+    "deduplicated_documents": f"SELECT min(doc_id) AS doc_id FROM documents GROUP BY {_normalised('text')}",
+    "half_of_documents": f"""SELECT doc_id, lang FROM documents
+        WHERE {_seeded(C.FRACTION_SEED)} < CAST({C.SHARE} * 1152921504606846976 AS BIGINT)""",
+    "balanced_languages": f"""SELECT doc_id, lang FROM documents QUALIFY row_number() OVER (
+        PARTITION BY lang ORDER BY {_seeded(C.BALANCE_SEED)}, doc_id) <= {C.LANG_QUOTA}""",
+    "arm_comparison": f"""WITH k AS (SELECT min(doc_id) AS doc_id FROM documents GROUP BY {_normalised('text')}),
+        a AS (SELECT 'before' AS arm, length(text) AS n FROM documents
+          UNION ALL SELECT 'after', length(text) FROM documents SEMI JOIN k USING (doc_id)),
+        s AS (SELECT arm, {{'rows': count(*)::DOUBLE, 'p50': quantile_cont(n, 0.5), 'p90': quantile_cont(n, 0.9), 'p95': quantile_cont(n, 0.95),
+          'p99': quantile_cont(n, 0.99), 'mean': avg(n)}} AS v FROM a GROUP BY arm),
+        l AS (SELECT arm, unnest(['rows', 'p50', 'p90', 'p95', 'p99', 'mean']) AS metric, unnest([v.rows, v.p50, v.p90, v.p95, v.p99, v.mean]) AS value FROM s)
+        SELECT x.metric, round(x.value, 6) AS before, round(y.value, 6) AS after, round(y.value - x.value, 6) AS delta
+        FROM l x JOIN l y ON x.metric = y.metric AND x.arm = 'before' AND y.arm = 'after'""",
+    "seed_spread": """WITH p AS (SELECT lang, doc_id % 3 AS s, source, avg(n_chars) AS v FROM documents GROUP BY ALL)
+        SELECT lang AS id, source AS task, count(*) AS n_seeds, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS spread
+        FROM p GROUP BY lang, source""",
     "normalised_keys": f"SELECT doc_id, sha256({_normalised('text')}) AS norm_key FROM documents",
     "trigram_scores": f"WITH {_trigrams('documents', 'doc_id', 'text')} "
     "SELECT id AS doc_id, round(score, 6) AS score FROM repetition",

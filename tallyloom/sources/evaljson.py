@@ -42,17 +42,20 @@ def eval_metrics(documents: DataFrame) -> DataFrame:
     document = F.from_json(
         J.quote_nonfinite(F.col("document")), "results MAP<STRING, STRING>, config STRING", {"mode": "FAILFAST"}
     )
+    # The text keeps the order of a task's metrics; the variant tells an object from a string that looks like one.
+    typed = F.from_json(J.quote_nonfinite(F.col("document")), "results MAP<STRING, VARIANT>")["results"]
     config = F.col("d.config")
 
     def field(name: str):
         return F.nullif(F.get_json_object(config, f"$.{name}"), F.lit(""))
 
-    tasks = documents.select("run", document.alias("d")).select(
+    tasks = documents.select("run", "document", document.alias("d")).select(
         "run",
         F.coalesce(field("model_args_string"), field("model_args")).alias("model_args"),
         F.explode("d.results").alias("task", "entry"),
-    )
-    objects = tasks.filter(F.ltrim("entry").startswith("{"))
+        typed.alias("typed"),
+    ).withColumn("kind", F.col("typed")[F.col("task")])
+    objects = tasks.filter(F.schema_of_variant(F.col("kind")).startswith("OBJECT"))
     value = F.col("value")
     return objects.select(
         "run",

@@ -148,3 +148,9 @@ def test_synthetic_pairs(spark):
     assert set(topics) == set(synthetic.TOPICS) and min(topics.count(t) for t in synthetic.TOPICS) > 40
     assert rows[5].instruction.endswith("(question #5).") and rows[0].input == ""
     assert rows != sorted(synthetic.synthetic_pairs(synthetic.question_numbers(spark), seed=14).collect())
+
+
+def test_a_string_that_looks_like_an_object_is_no_task(spark):
+    text = '{"results": {"note": "{\\"acc\\": 0.9}", "t": {"z": 1, "acc": 0.5}}, "config": {}}'
+    rows = evaljson.eval_metrics(spark.createDataFrame([("r", text)], "run string, document string")).collect()
+    assert [(r.task, r.metric) for r in sorted(rows, key=lambda r: r.pos)] == [("t", "z"), ("t", "acc")]

@@ -128,7 +128,8 @@ def test_cpt_strip_then_test_then_cut(spark):
     raw = spark.createDataFrame(
         [(1, "a" * 79 + " " * 50), (2, "  " + "b" * 80), (3, "😀" + "c" * 9000), (4, None)], "pos BIGINT, text STRING"
     )
-    kept = {r.pos: r.text for r in export.cpt_corpus(raw).collect()}
+    kept = {r.pos: r.text for r in export.cpt_corpus(raw, max_chars=8000).collect()}
+    assert len(export.cpt_corpus(raw).filter("pos = 3").first().text) == 9001
     assert kept == {2: "b" * 80, 3: "😀" + "c" * 7999}
 
 
@@ -152,20 +153,39 @@ def test_cap_takes_the_first_passing_rows(spark):
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 999, 5000, 9999, 10_000, 20_000])
-def test_large_caps_agree_with_a_plain_limit(spark, monkeypatch, n):
-    monkeypatch.setattr(selection, "INLINE_LIMIT", 1)
+def test_caps_agree_with_a_plain_limit(spark, n):
     df = spark.range(10_000).select((F.col("id") * F.col("id") * 37 - 10**9).alias("pos")).repartition(7)
     got = sorted(r.pos for r in selection.first_n(df, n).collect())
     assert got == sorted(i * i * 37 - 10**9 for i in range(10_000))[:n]
 
 
-def test_large_caps_with_ties(spark, monkeypatch):
-    monkeypatch.setattr(selection, "INLINE_LIMIT", 1)
+def test_caps_with_ties(spark):
     df = spark.range(1000).select((F.col("id") % 10).alias("pos"), "id").repartition(5)
     got = sorted((r.pos, r.id) for r in selection.first_n(df, 250, "pos", ["id"]).collect())
     assert got == sorted((i % 10, i) for i in range(1000))[:250]
 
 
+def test_first_n_without_a_tie_key_is_stable(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("pos"), "id")
+    one = {r.id for r in selection.first_n(df.repartition(3), 1500).collect()}
+    assert len(one) == 1500 and one == {r.id for r in selection.first_n(df.repartition(6), 1500).collect()}
+    same = spark.range(2000).select(F.lit(1).cast("bigint").alias("pos"), F.lit("x").alias("t"))
+    assert selection.first_n(same, 1234).count() == 1234
+
+
+@pytest.mark.parametrize("n", [2, 3])
+def test_first_n_of_extreme_positions(spark, n):
+    df = spark.createDataFrame([(5 * 10**18,), (-5 * 10**18,), (0,), (9 * 10**18,)], "pos long")
+    assert sorted(r.pos for r in selection.first_n(df, n).collect()) == [-5 * 10**18, 0, 5 * 10**18][:n]
+
+
+@pytest.mark.parametrize("n", [1, 2000])
+def test_a_row_without_a_position_is_an_error(spark, n):
+    df = spark.createDataFrame([(1, "a"), (None, "b")], "pos long, t string")
+    with pytest.raises(Exception, match="a row has no pos"):
+        selection.first_n(df, n).collect()
+
+
 # --- sources and sinks ------------------------------------------------------------------------------------------
 
 

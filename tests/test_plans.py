@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from tallyloom.operators import export, selection
+from tallyloom.operators import export
 from tallyloom.plans import bindings
 from tallyloom.plans.catalog import QUERIES
 
@@ -38,16 +38,11 @@ def test_scans_read_only_what_they_need(spark, small):
     assert "EqualTo(role,assistant)" in turns and "EqualTo(role,user)" in turns
 
 
-def test_small_limits_cut_before_the_shuffle(spark, small):
-    text = plan(QUERIES["cpt_first_rows"](spark, small))
-    assert re.search(r"WindowGroupLimit.*Partial", text) and "SinglePartition" not in text
-
-
-def test_a_large_cap_is_a_pushed_filter(spark, small, monkeypatch):
-    monkeypatch.setattr(selection, "INLINE_LIMIT", 10)
+@pytest.mark.parametrize("cap", [5, 50])
+def test_a_cap_is_a_pushed_filter(spark, small, cap):
     documents = bindings.table(spark, small, "documents").selectExpr("doc_id AS pos", "text")
-    text = plan(export.cpt_corpus(documents, cap=50))
-    assert "LessThan(doc_id," in text
+    text = plan(export.cpt_corpus(documents, cap=cap))
+    assert "LessThanOrEqual(doc_id," in text and "hashpartitioning" not in text
 
 
 def test_one_exchange_of_cells_per_report(spark, small):

@@ -260,3 +260,25 @@ def test_blocks_agree_with_broadcast_on_tables(spark, small):
         max_broadcast_queries=1, block_queries=3, block_docs=90,
     )
     assert found(blocks) == found(catalog.cosine_topk(spark, small))
+
+
+def test_repeated_judgements_and_results_count_once(spark):
+    qrels = spark.createDataFrame([("q", "a", 1), ("q", "a", 1), ("q", "b", 1)], "qid string, doc_id string, rel int")
+    results = spark.createDataFrame([("s", "q", "a", 0.9), ("s", "q", "a", 0.9)], "system string, qid string, doc_id string, score double")
+    row = ranking.query_metrics(qrels, results, [1]).first()
+    assert (row.ndcg, row.precision, row.recall) == (1.0, 1.0, 0.5)
+
+
+@pytest.mark.parametrize("scores, message", [([1.0, 1.0], "repeated rerank score"), ([-2000.0], "too low")])
+def test_bad_rerank_scores_are_errors(spark, scores, message):
+    ranked = spark.createDataFrame([("q", "a", 0.9, 1)], "qid string, doc_id string, score double, rk int")
+    second = spark.createDataFrame([("q", "a", s) for s in scores], "qid string, doc_id string, score double")
+    with pytest.raises(Exception, match=message):
+        retrieval.merge_rerank(ranked, second, 1).collect()
+
+
+def test_a_missing_vector_is_an_error(spark):
+    queries = spark.createDataFrame([("q", [1.0, 0.0]), ("r", None)], "qid string, embedding array<float>")
+    corpus = spark.createDataFrame([("a", [1.0, 0.0])], "doc_id string, embedding array<float>")
+    with pytest.raises(Exception, match="no vector for r"):
+        retrieval.cosine_topk(queries, corpus, 5).collect()
