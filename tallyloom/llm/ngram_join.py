@@ -36,7 +36,7 @@ from tallyloom.session import materialize
 WORDS = 5
 SIMILARITY = 80  # percent
 CHUNK = 1024  # documents compared in one task
-FLUSH_TOKENS = 4_000_000
+FLUSH_TOKENS = 1_500_000
 
 _PACKED = "bucket long, flush long, docs binary, toks binary, meta binary"
 _RETURNED = "flush long, docs binary, toks binary, dfs binary, meta binary"
