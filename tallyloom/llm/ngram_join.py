@@ -19,7 +19,6 @@ Links between documents that are already connected are not looked up again: the
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
 
