@@ -2,9 +2,10 @@
 
 How it runs:
 
-1. One scan hashes every whole text. Copies met in one task are kept once. The distinct shingles go, packed per task and
-   bucket, to the bucket of their hash, where their document frequency is counted. Only shingles of two or more documents
-   come back: no other can be shared, so the rest of a set is known by its size alone.
+1. One scan hashes every whole text and flushes a bounded number of shingles at a time. Copies met in one flush are kept
+   once. Each distinct shingle of a flush goes, with its count there, to the bucket of its hash, where document
+   frequencies are summed: a shingle of a third of all documents is one entry per flush. Only shingles of two or more
+   documents come back: no other can be shared, so the rest of a set is known by its size alone.
 2. With the rarest shingles first, a prefix of ``n - ceil(0.8 n) + 1`` shingles must meet the prefix of any similar
    set. A document whose prefix holds only shingles of its own links with nothing and is done.
 3. Documents of one size and one prefix form a group; a shingle's posting list holds each group once.
@@ -36,9 +37,11 @@ WORDS = 5
 SIMILARITY = 80  # percent
 CHUNK = 1024  # documents compared in one task
 FLUSH_TOKENS = 1_500_000
+DOCUMENT_WEIGHT = 8  # what a document counts beside its shingles, so that copies fill a flush too
+MOST = np.iinfo(np.int32).max  # frequencies beyond it are equal in the order of shingles
 
-_PACKED = "bucket long, flush long, docs binary, toks binary, meta binary"
-_RETURNED = "flush long, docs binary, toks binary, dfs binary, meta binary"
+_PACKED = "bucket long, flush long, codes binary, toks binary, counts binary, owners binary, meta binary"
+_RETURNED = "flush long, codes binary, toks binary, dfs binary, counts binary, owners binary, meta binary"
 _SETS = "doc_id long, n long, d1 long, d2 long, singles int, prefix array<long>, toks binary"
 _DOCUMENT = np.dtype([("id", "<i8"), ("null", "?"), ("cls", "<u4"), ("head", "?"), ("n", "<i8"), ("d1", "<i8"), ("d2", "<i8")])
 
@@ -47,27 +50,46 @@ def prefix_length(n: int) -> int:
     return n - (SIMILARITY * n + 99) // 100 + 1
 
 
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where a new value begins in a sorted array."""
+    return np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
+
+
 def _pack(docs: list[tuple], sets: list[np.ndarray], n_buckets: int, flush: int) -> pa.RecordBatch:
-    """Rows of one flush: a row per bucket of shingles, and a row (negative bucket) that describes its documents."""
+    """Rows of one flush: a row per bucket of shingles, and a row (negative bucket) that describes its documents.
+
+    A shingle of one set carries the set's number as its code. One of several sets carries a number past those, its
+    count goes along, and the sets that have it stay in the row that describes the flush.
+    """
     meta = np.array(docs, _DOCUMENT)
     toks = np.concatenate(sets) if sets else np.empty(0, U64)
     owner = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(s) for s in sets])
+    order = np.argsort(toks, kind="stable")
+    toks, owner = toks[order], owner[order]
+    first = _starts(toks)
+    counts = np.diff(np.append(first, len(toks))).astype(np.uint32)
+    many = counts > 1
+    lists = (counts[many].tobytes(), owner[np.repeat(many, counts)].tobytes())
+    codes = np.where(many, len(sets) + np.cumsum(many) - 1, owner[first]).astype(np.uint32)
+    toks = toks[first]
     bucket = (mix(toks ^ U64(0x5851F42D4C957F2D)) % U64(n_buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    toks, owner, bucket = toks[order], owner[order], bucket[order]
+    order = np.argsort(2 * bucket + many, kind="stable")
+    codes, toks, counts, many, bucket = (x[order] for x in (codes, toks, counts, many, bucket))
     edges = np.searchsorted(bucket, np.arange(n_buckets + 1))
     filled = [b for b in range(n_buckets) if edges[b] < edges[b + 1]]
-    pieces = [(int(edges[b]), int(edges[b + 1])) for b in filled]
+    pieces = [slice(int(edges[b]), int(edges[b + 1])) for b in filled]
     none = [None] * len(filled)
     return pa.RecordBatch.from_arrays(
         [
             pa.array([*filled, -1 - flush], pa.int64()),
             pa.array([flush] * (len(filled) + 1), pa.int64()),
-            pa.array([*(owner[a:b].tobytes() for a, b in pieces), None], pa.binary()),
-            pa.array([*(toks[a:b].tobytes() for a, b in pieces), None], pa.binary()),
+            pa.array([*(codes[p].tobytes() for p in pieces), None], pa.binary()),
+            pa.array([*(toks[p].tobytes() for p in pieces), None], pa.binary()),
+            pa.array([*(counts[p][many[p]].tobytes() for p in pieces), lists[0]], pa.binary()),
+            pa.array([*none, lists[1]], pa.binary()),
             pa.array([*none, meta.tobytes()], pa.binary()),
         ],
-        ["bucket", "flush", "docs", "toks", "meta"],
+        ["bucket", "flush", "codes", "toks", "counts", "owners", "meta"],
     )
 
 
@@ -94,7 +116,7 @@ def _packed_sets(n_buckets: int, n_words: int):
                             known[key] = cls
                         held += len(sets[-1])
                     docs.append((doc or 0, doc is None, cls, head, *key))
-                if held >= FLUSH_TOKENS:
+                if held + DOCUMENT_WEIGHT * len(docs) >= FLUSH_TOKENS:
                     yield _pack(_least_heads(docs), sets, n_buckets, part + next(numbers))
                     docs, sets, known, held = [], [], {}, 0
         if docs:
@@ -114,36 +136,53 @@ def _least_heads(docs: list[tuple]) -> list[tuple]:
 
 def _count_bucket(table: pa.Table) -> pa.Table:
     """Frequencies within a bucket: back to each flush go its shingles of two or more documents."""
-    schema = pa.schema([("flush", pa.int64()), ("docs", pa.binary()), ("toks", pa.binary()), ("dfs", pa.binary()), ("meta", pa.binary())])
-    flushes = table.column("flush").to_pylist()
+    names = ["flush", "codes", "toks", "dfs", "counts", "owners", "meta"]
+    schema = pa.schema([(name, pa.int64() if name == "flush" else pa.binary()) for name in names])
+    column = {name: table.column(name).to_pylist() for name in names if name != "dfs"}
     if table.column("bucket")[0].as_py() < 0:
-        rows = [(f, None, None, None, m) for f, m in zip(flushes, table.column("meta").to_pylist(), strict=True)]
-    else:
-        toks = [np.frombuffer(t, U64) for t in table.column("toks").to_pylist()]
-        _, which, df = np.unique(np.concatenate(toks), return_inverse=True, return_counts=True)
-        df = df[which].astype(np.int32)
-        rows, at = [], 0
-        for flush, own, docs in zip(flushes, toks, table.column("docs").to_pylist(), strict=True):
-            d = df[at : at + len(own)]
-            at += len(own)
-            if (keep := d > 1).any():
-                rows.append((flush, np.frombuffer(docs, np.uint32)[keep].tobytes(), own[keep].tobytes(), d[keep].tobytes(), None))
-    return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows) if rows else [()] * 5, schema, strict=True)], schema=schema)
+        return pa.table({**column, "dfs": [None] * table.num_rows}, schema=schema)
+    toks = [np.frombuffer(t, U64) for t in column["toks"]]
+    weight = np.ones(sum(map(len, toks)), np.int64)
+    at = 0
+    for own, counts in zip(toks, column["counts"], strict=True):
+        at += len(own)
+        repeated = np.frombuffer(counts, np.uint32)
+        weight[at - len(repeated) : at] = repeated
+    _, which = np.unique(np.concatenate(toks), return_inverse=True)
+    df = np.minimum(np.bincount(which, weights=weight), MOST).astype(np.int32)[which]
+    rows, at = [], 0
+    for flush, own, codes in zip(column["flush"], toks, column["codes"], strict=True):
+        d = df[at : at + len(own)]
+        at += len(own)
+        if (keep := d > 1).any():
+            rows.append((flush, np.frombuffer(codes, np.uint32)[keep].tobytes(), own[keep].tobytes(), d[keep].tobytes(), None, None, None))
+    return pa.table(dict(zip(names, zip(*rows) if rows else [()] * len(names), strict=True)), schema=schema)
+
+
+def _by_set(codes: np.ndarray, n_sets: int, counts: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes as (set, place in ``codes``) pairs: one for the shingle of one set, one per set for the others."""
+    (single,), (several,) = np.nonzero(codes < n_sets), np.nonzero(codes >= n_sets)
+    which = codes[several].astype(np.int64) - n_sets
+    ends = np.cumsum(counts, dtype=np.int64)
+    lengths = counts[which].astype(np.int64)
+    own_ends = np.cumsum(lengths)
+    at = np.repeat(ends[which] - own_ends, lengths) + np.arange(lengths.sum())
+    return np.concatenate((codes[single], owners[at])), np.concatenate((single, np.repeat(several, lengths)))
 
 
 def _assemble(table: pa.Table) -> pa.Table:
     """The documents of one flush; those that can link also get their prefix and their shared shingles."""
-    metas = [m for m in table.column("meta").to_pylist() if m]
-    parts = [
-        (np.frombuffer(d, np.uint32), np.frombuffer(t, U64), np.frombuffer(f, np.int32))
-        for d, t, f in zip(*(table.column(c).to_pylist() for c in ("docs", "toks", "dfs")), strict=True)
-        if d
-    ]
-    meta = np.frombuffer(metas[0], _DOCUMENT)
-    owner, toks, df = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.empty(0, np.uint32), np.empty(0, U64), np.empty(0, np.int32))
+    rows = table.to_pylist()
+    head = next(r for r in rows if r["meta"])
+    meta = np.frombuffer(head["meta"], _DOCUMENT)
+    n_classes = int(meta["cls"].max()) + 1
+    codes, toks, df = (
+        np.frombuffer(b"".join(r[c] for r in rows if r["codes"]), kind) for c, kind in (("codes", np.uint32), ("toks", U64), ("dfs", np.int32))
+    )
+    owner, place = _by_set(codes, n_classes, np.frombuffer(head["counts"], np.uint32), np.frombuffer(head["owners"], np.uint32))
+    toks, df = toks[place], df[place]
     order = np.lexsort((toks, df, owner))
     owner, toks = owner[order], toks[order]
-    n_classes = int(meta["cls"].max()) + 1
     edges = np.searchsorted(owner, np.arange(n_classes + 1))
     singles: list = []
     prefix: list = []

@@ -3,6 +3,9 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +48,30 @@ def test_ngram_join_splits_large_blocks(docs, helpers, monkeypatch):
     assert got == want
 
 
+def test_ngram_join_over_many_flushes(docs, helpers, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FLUSH_TOKENS", 300)
+    rows = list(enumerate(near_copies(4)))
+    sets = {i: helpers["shingles"](t) for i, t in rows}
+    want = helpers["classes"](list(sets), lambda a, b: helpers["similar"](sets[a], sets[b]))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_classes(docs(rows)).collect()}
+    assert got == {i: (len(sets[i]), want[i]) for i in sets}
+
+
+def test_ngram_join_sends_a_common_shingle_once_per_flush():
+    sets = [np.array(sorted({5, 1000 + i, 2000 + i // 2}), np.uint64) for i in range(50)]
+    known = [(i, False, i, True, 3, i, i) for i in range(50)]
+    packed = pa.Table.from_batches([ngram_join._pack(known, sets, 4, flush) for flush in (0, 1)])
+    sent = np.concatenate([np.frombuffer(t, np.uint64) for t in packed.column("toks").to_pylist() if t])
+    assert sorted(sent) == sorted(2 * [5, *range(1000, 1050), *range(2000, 2025)])
+    buckets = sorted(set(packed.column("bucket").to_pylist()))
+    counted = pa.concat_tables([ngram_join._count_bucket(packed.filter(pc.equal(packed.column("bucket"), b))) for b in buckets])
+    for flush in (0, 1):
+        got = ngram_join._assemble(counted.filter(pc.equal(counted.column("flush"), flush)))
+        assert got.column("doc_id").to_pylist() == list(range(50))
+        assert [np.frombuffer(t, np.uint64).tolist() for t in got.column("toks").to_pylist()] == [s.tolist() for s in sets]
+        assert got.column("prefix").to_pylist() == [[1000 + i] for i in range(50)]
+
+
 def test_ngram_join_ids_and_columns(docs):
     text = " ".join(WORDS[:40])
     rows = [(None, text, "x"), (7, text, "y"), (7, text, "z"), (3, text + " w1", None), (None, "lonely words", "q")]
