@@ -133,6 +133,45 @@ def export_file_rows(spark: SparkSession, folder: str) -> DataFrame:
     return hashed.agg(F.sum("rows").alias("rows"), F.min(F.length("sha256")).alias("hash_length"))
 
 
+# --- sources as files -------------------------------------------------------------------------------------------
+
+
+def _as_json_lines(spark: SparkSession, rows: DataFrame, name: str) -> str:
+    path = scratch_path(spark, name)
+    rows.write.json(path)
+    return path
+
+
+@query
+def sft_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = _as_json_lines(spark, B.sft_raw(spark, folder), "sft-source")
+    return export.sft_examples(readers.read_sft(spark, path), SFT_MIN, SFT_MAX)
+
+
+@query
+def dpo_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The message lists come back as VARIANT."""
+    path = _as_json_lines(spark, B.prefs_raw(spark, folder), "prefs-source")
+    return export.dpo_pairs(readers.read_preferences(spark, path), DPO_MIN, DPO_MAX)
+
+
+@query
+def cpt_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = _as_json_lines(spark, B.cpt_raw(spark, folder), "texts-source")
+    return export.cpt_corpus(readers.read_texts(spark, path), max_chars=CPT_MAX)
+
+
+@query
+def judged_passages_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Corpus, queries and judgements read back as a retrieval collection: what a reranker reads of each judged document."""
+    tables = [B.corpus(spark, folder), B.label_queries(spark, folder), B.label_qrels(spark, folder)]
+    paths = [_as_json_lines(spark, t, name) for t, name in zip(tables, ("corpus", "queries", "qrels"), strict=True)]
+    corpus, queries, qrels = readers.read_retrieval(spark, *paths, fmt="json")
+    known, judged = retrieval.subsample_queries(queries, qrels, None)
+    asked = judged.join(known.select("qid"), "qid", "left_semi")
+    return retrieval.passages(corpus).join(asked, "doc_id").select("qid", "doc_id", "rel", "passage")
+
+
 # --- row features -----------------------------------------------------------------------------------------------
 
 

@@ -248,6 +248,13 @@ ORACLE: dict[str, str] = {
     "dpo_first_rows": f"{_ALL} SELECT * FROM dpo ORDER BY pos LIMIT {C.DPO_CAP}",
     "cpt_corpus": f"{_ALL} SELECT * FROM cpt",
     "cpt_first_rows": f"{_ALL} SELECT * FROM cpt ORDER BY pos LIMIT {C.CPT_CAP}",
+    "sft_from_files": f"{_ALL} SELECT * FROM sft",
+    "dpo_from_files": f"{_ALL} SELECT * FROM dpo",
+    "cpt_from_files": f"{_ALL} SELECT * FROM cpt",
+    "judged_passages_from_files": f"""SELECT CAST(doc_id AS VARCHAR) AS qid, CAST(doc_id AS VARCHAR) AS doc_id, quality AS rel,
+        CASE WHEN {_strip("source")} = '' THEN {_strip("text")}
+             ELSE {_strip(_strip("source") + " || ' ' || " + _strip("text"))} END AS passage
+        FROM documents JOIN labels USING (doc_id)""",
     "drop_reasons": f"""{_ALL}
         SELECT 'sft' AS role, reason, count(*) AS rows FROM sft_judged GROUP BY reason
         UNION ALL SELECT 'dpo', reason, count(*) FROM dpo_judged GROUP BY reason
