@@ -55,6 +55,21 @@ def _starts(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
 
 
+def _shrink(values: np.ndarray, steps: bool = False) -> bytes:
+    """Values plane by plane, from all lowest to all highest bytes: planes of leading zeros cost next to nothing once the
+    shuffle compresses them. Runs of ascending values go as steps (modulo their width), which have more such planes."""
+    if steps:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _grow(data: bytes, kind: type, steps: bool = False) -> np.ndarray:
+    """The values that ``_shrink`` was given."""
+    planes = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    values = np.ascontiguousarray(planes.T).view(kind).ravel()
+    return np.cumsum(values, dtype=kind) if steps else values
+
+
 def _pack(docs: list[tuple], sets: list[np.ndarray], n_buckets: int, flush: int) -> pa.RecordBatch:
     """Rows of one flush: a row per bucket of shingles, and a row (negative bucket) that describes its documents.
 
@@ -69,10 +84,10 @@ def _pack(docs: list[tuple], sets: list[np.ndarray], n_buckets: int, flush: int)
     first = _starts(toks)
     counts = np.diff(np.append(first, len(toks))).astype(np.uint32)
     many = counts > 1
-    lists = (counts[many].tobytes(), owner[np.repeat(many, counts)].tobytes())
+    lists = (_shrink(counts[many]), _shrink(owner[np.repeat(many, counts)]))
     codes = np.where(many, len(sets) + np.cumsum(many) - 1, owner[first]).astype(np.uint32)
     toks = toks[first]
-    bucket = (mix(toks ^ U64(0x5851F42D4C957F2D)) % U64(n_buckets)).astype(np.int64)
+    bucket = ((toks >> U64(32)) * U64(n_buckets) >> U64(32)).astype(np.int64)  # a range of hashes, so steps are short
     order = np.argsort(2 * bucket + many, kind="stable")
     codes, toks, counts, many, bucket = (x[order] for x in (codes, toks, counts, many, bucket))
     edges = np.searchsorted(bucket, np.arange(n_buckets + 1))
@@ -83,9 +98,9 @@ def _pack(docs: list[tuple], sets: list[np.ndarray], n_buckets: int, flush: int)
         [
             pa.array([*filled, -1 - flush], pa.int64()),
             pa.array([flush] * (len(filled) + 1), pa.int64()),
-            pa.array([*(codes[p].tobytes() for p in pieces), None], pa.binary()),
-            pa.array([*(toks[p].tobytes() for p in pieces), None], pa.binary()),
-            pa.array([*(counts[p][many[p]].tobytes() for p in pieces), lists[0]], pa.binary()),
+            pa.array([*(_shrink(codes[p]) for p in pieces), None], pa.binary()),
+            pa.array([*(_shrink(toks[p], steps=True) for p in pieces), None], pa.binary()),
+            pa.array([*(_shrink(counts[p][many[p]]) for p in pieces), lists[0]], pa.binary()),
             pa.array([*none, lists[1]], pa.binary()),
             pa.array([*none, meta.tobytes()], pa.binary()),
         ],
@@ -141,12 +156,12 @@ def _count_bucket(table: pa.Table) -> pa.Table:
     column = {name: table.column(name).to_pylist() for name in names if name != "dfs"}
     if table.column("bucket")[0].as_py() < 0:
         return pa.table({**column, "dfs": [None] * table.num_rows}, schema=schema)
-    toks = [np.frombuffer(t, U64) for t in column["toks"]]
+    toks = [_grow(t, U64, steps=True) for t in column["toks"]]
     weight = np.ones(sum(map(len, toks)), np.int64)
     at = 0
     for own, counts in zip(toks, column["counts"], strict=True):
         at += len(own)
-        repeated = np.frombuffer(counts, np.uint32)
+        repeated = _grow(counts, np.uint32)
         weight[at - len(repeated) : at] = repeated
     _, which = np.unique(np.concatenate(toks), return_inverse=True)
     df = np.minimum(np.bincount(which, weights=weight), MOST).astype(np.int32)[which]
@@ -155,7 +170,8 @@ def _count_bucket(table: pa.Table) -> pa.Table:
         d = df[at : at + len(own)]
         at += len(own)
         if (keep := d > 1).any():
-            rows.append((flush, np.frombuffer(codes, np.uint32)[keep].tobytes(), own[keep].tobytes(), d[keep].tobytes(), None, None, None))
+            kept = (_shrink(_grow(codes, np.uint32)[keep]), _shrink(own[keep], steps=True), _shrink(d[keep]))
+            rows.append((flush, *kept, None, None, None))
     return pa.table(dict(zip(names, zip(*rows) if rows else [()] * len(names), strict=True)), schema=schema)
 
 
@@ -177,9 +193,10 @@ def _assemble(table: pa.Table) -> pa.Table:
     meta = np.frombuffer(head["meta"], _DOCUMENT)
     n_classes = int(meta["cls"].max()) + 1
     codes, toks, df = (
-        np.frombuffer(b"".join(r[c] for r in rows if r["codes"]), kind) for c, kind in (("codes", np.uint32), ("toks", U64), ("dfs", np.int32))
+        np.concatenate([np.empty(0, kind), *(_grow(r[c], kind, c == "toks") for r in rows if r["codes"])])
+        for c, kind in (("codes", np.uint32), ("toks", U64), ("dfs", np.int32))
     )
-    owner, place = _by_set(codes, n_classes, np.frombuffer(head["counts"], np.uint32), np.frombuffer(head["owners"], np.uint32))
+    owner, place = _by_set(codes, n_classes, _grow(head["counts"], np.uint32), _grow(head["owners"], np.uint32))
     toks, df = toks[place], df[place]
     order = np.lexsort((toks, df, owner))
     owner, toks = owner[order], toks[order]

@@ -58,18 +58,28 @@ def test_ngram_join_over_many_flushes(docs, helpers, monkeypatch):
 
 
 def test_ngram_join_sends_a_common_shingle_once_per_flush():
-    sets = [np.array(sorted({5, 1000 + i, 2000 + i // 2}), np.uint64) for i in range(50)]
+    sets = [np.array(sorted({5, 1000 + i, 2000 + i // 2}), np.uint64) << np.uint64(52) for i in range(50)]
     known = [(i, False, i, True, 3, i, i) for i in range(50)]
     packed = pa.Table.from_batches([ngram_join._pack(known, sets, 4, flush) for flush in (0, 1)])
-    sent = np.concatenate([np.frombuffer(t, np.uint64) for t in packed.column("toks").to_pylist() if t])
-    assert sorted(sent) == sorted(2 * [5, *range(1000, 1050), *range(2000, 2025)])
+    sent = np.concatenate([ngram_join._grow(t, np.uint64, steps=True) for t in packed.column("toks").to_pylist() if t])
+    assert sorted(sent >> np.uint64(52)) == sorted(2 * [5, *range(1000, 1050), *range(2000, 2025)])
     buckets = sorted(set(packed.column("bucket").to_pylist()))
     counted = pa.concat_tables([ngram_join._count_bucket(packed.filter(pc.equal(packed.column("bucket"), b))) for b in buckets])
     for flush in (0, 1):
         got = ngram_join._assemble(counted.filter(pc.equal(counted.column("flush"), flush)))
         assert got.column("doc_id").to_pylist() == list(range(50))
         assert [np.frombuffer(t, np.uint64).tolist() for t in got.column("toks").to_pylist()] == [s.tolist() for s in sets]
-        assert got.column("prefix").to_pylist() == [[1000 + i] for i in range(50)]
+        assert got.column("prefix").to_pylist() == [[(1000 + i) << 52] for i in range(50)]
+
+
+def test_ngram_join_packs_values_without_loss():
+    draw = np.random.default_rng(3)
+    for kind in (np.uint32, np.int32, np.uint64):
+        for size in (0, 1, 2, 1000):
+            values = draw.integers(0, np.iinfo(kind).max, size, dtype=kind, endpoint=True)
+            for steps in (False, True):
+                assert np.array_equal(ngram_join._grow(ngram_join._shrink(values, steps), kind, steps), values)
+                assert np.array_equal(ngram_join._grow(ngram_join._shrink(np.sort(values), steps), kind, steps), np.sort(values))
 
 
 def test_ngram_join_ids_and_columns(docs):
