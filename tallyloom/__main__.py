@@ -49,6 +49,7 @@ def _export(spark: SparkSession, args) -> None:
         max_dpo=args.max_dpo,
         allow_empty=args.allow_empty,
         ordered=not args.unordered,
+        overwrite=args.overwrite,
         git_commit=args.git_commit,
     )
 
@@ -62,6 +63,7 @@ def _export_text(spark: SparkSession, args) -> None:
         max_chars=args.max_chars,
         max_docs=args.max_docs,
         ordered=not args.unordered,
+        overwrite=args.overwrite,
     )
 
 
@@ -124,6 +126,7 @@ def _parser() -> argparse.ArgumentParser:
         if source:
             sub.add_argument("--format", default="json", choices=["json", "parquet"])
             sub.add_argument("--order", default="pos", choices=["pos", "file", "scan"], help="where the row order comes from")
+            sub.add_argument("--overwrite", action="store_true", help="replace the files of an earlier run")
             sub.add_argument("--unordered", action="store_true", help="write without the ordering shuffle")
         return sub
 

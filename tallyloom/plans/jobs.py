@@ -40,20 +40,25 @@ def _finish_export(
     allow_empty: bool,
     ordered: bool,
     git_commit: str | None,
+    overwrite: bool,
 ) -> ExportResult:
     """Write, fingerprint what was written, and describe it.
 
-    Rows are computed by the write; counts come from what was written, so an empty export is noticed after its write.
+    Every export is looked at for a first row before any is written, so one that is empty leaves nothing behind. Counts
+    come from what was written. ``overwrite`` replaces the files of an earlier or broken run.
     """
+    if not allow_empty:
+        for role, frame in frames.items():
+            export.require_rows(int(not frame.isEmpty()), role)
+    mode = "overwrite" if overwrite else "errorifexists"
     paths = {role: f"{out}/{role}.jsonl" for role in frames}
     rows, sources, prints = {}, [], []
     for role, frame in frames.items():
-        writers.write_jsonl(frame, paths[role], order_by="pos" if ordered else None)
+        writers.write_jsonl(frame, paths[role], order_by="pos" if ordered else None, mode=mode)
         schema = EXPORT_SCHEMAS[role]
         columns = [part.split()[0] for part in schema.split(", ")]
         mark = fingerprint.export_fingerprint(spark, paths[role], schema, columns).first()
         rows[role] = mark["rows"]
-        export.require_rows(mark["rows"], role, allow_empty)
         sources.append(
             _source_line(spark, role, recipe.sources.get(role, Source()), raws[role].count(), mark["rows"])
         )
@@ -74,8 +79,8 @@ def _finish_export(
         git_commit=git_commit,
     )
     manifest_path, descriptor_path = f"{out}/manifest.json", f"{out}/dataset_info.json"
-    writers.write_document(document, manifest_path)
-    writers.write_descriptor(spark, {role: (role, f"{role}.jsonl") for role in frames}, descriptor_path)
+    writers.write_document(document, manifest_path, mode)
+    writers.write_descriptor(spark, {role: (role, f"{role}.jsonl") for role in frames}, descriptor_path, mode)
     return ExportResult(paths, rows, manifest_path, descriptor_path)
 
 
@@ -91,6 +96,7 @@ def export_training_sets(
     allow_empty: bool = False,
     ordered: bool = True,
     git_commit: str | None = None,
+    overwrite: bool = False,
 ) -> ExportResult:
     """Instruction and preference exports as JSONL with descriptor and manifest. A given cap overrides the recipe's."""
     frames = {
@@ -102,7 +108,7 @@ def export_training_sets(
         ),
     }
     raws = {"sft": sft_raw, "dpo": prefs_raw}
-    return _finish_export(spark, out, raws, frames, recipe, allow_empty, ordered, git_commit)
+    return _finish_export(spark, out, raws, frames, recipe, allow_empty, ordered, git_commit, overwrite)
 
 
 def export_raw_text(
@@ -116,11 +122,12 @@ def export_raw_text(
     max_chars: int | None = None,
     max_docs: int | None = None,
     ordered: bool = True,
+    overwrite: bool = False,
 ) -> ExportResult:
     """Raw-text export for continued pretraining. An empty result is always an error here."""
     recipe = Recipe(recipe_id, min_chars, max_chars or export.NO_UPPER_BOUND, sources={"cpt": source})
     frames = {"cpt": export.cpt_corpus(raw, min_chars, max_chars, max_docs)}
-    return _finish_export(spark, out, {"cpt": raw}, frames, recipe, False, ordered, None)
+    return _finish_export(spark, out, {"cpt": raw}, frames, recipe, False, ordered, None, overwrite)
 
 
 def quality_report(spark: SparkSession, sft_path: str, dpo_path: str) -> DataFrame:

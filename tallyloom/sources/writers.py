@@ -46,7 +46,9 @@ def export_descriptor(spark: SparkSession, exports: dict[str, tuple[str, str]])
     )
 
 
-def write_descriptor(spark: SparkSession, exports: dict[str, tuple[str, str]], path: str) -> None:
+def write_descriptor(
+    spark: SparkSession, exports: dict[str, tuple[str, str]], path: str, mode: str = "errorifexists"
+) -> None:
     """The descriptor as the JSON mapping trainers read: one entry per export, absent fields left out."""
     entries = []
     for name, (kind, file) in exports.items():
@@ -58,7 +60,7 @@ def write_descriptor(spark: SparkSession, exports: dict[str, tuple[str, str]], p
             fields["ranking"] = F.lit(True)
         fields["columns"] = F.struct(*[F.lit(column).alias(role) for role, column in columns.items()])
         entries.append(F.struct(*[value.alias(field) for field, value in fields.items()]).alias(name))
-    write_document(spark.range(1).select(*entries), path)
+    write_document(spark.range(1).select(*entries), path, mode)
 
 
 def write_document(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -268,7 +269,15 @@ def test_export_job(spark, tmp_path):
     lines = {(r.dataset, r.metric, r.stat): r.value for r in jobs.findings(report).collect()}
     assert lines["sft", "rows", "value"] == 1 and lines["dpo", "chosen_char_len", "p50"] == 1
     with pytest.raises(export.EmptyExportError):
-        jobs.export_training_sets(spark, s.limit(0), p, recipe, str(tmp_path / "empty"))
+        jobs.export_training_sets(spark, s, p.limit(0), recipe, str(tmp_path / "empty"))
+    assert not (tmp_path / "empty").exists()
+    assert jobs.export_training_sets(spark, s, p, recipe, str(tmp_path / "empty")).rows == {"sft": 1, "dpo": 1}
+    with pytest.raises(AnalysisException):
+        jobs.export_training_sets(spark, s, p, recipe, str(tmp_path / "out"))
+    more = s.union(sft(spark, [(4, "i", "", "q")]))
+    again = jobs.export_training_sets(spark, more, p, recipe, str(tmp_path / "out"), max_sft=5, overwrite=True)
+    assert again.rows == {"sft": 3, "dpo": 1}
+    assert spark.read.json(again.paths["sft"]).count() == 3
     allowed = jobs.export_training_sets(spark, s.limit(0), p, recipe, str(tmp_path / "allowed"), allow_empty=True)
     assert allowed.rows["sft"] == 0
 
@@ -279,6 +288,7 @@ def test_raw_text_job(spark, tmp_path):
     assert done.rows == {"cpt": 5}
     with pytest.raises(export.EmptyExportError):
         jobs.export_raw_text(spark, raw, str(tmp_path / "none"), min_chars=1000)
+    assert not (tmp_path / "none").exists()
 
 
 @pytest.mark.parametrize(
