@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontam, embedding_dedup, htmltext, langid, mixing, ngram_join, pii, tokencount, warc
+from tallyloom.llm import chat, chatrepair, decontam, embedding_dedup, htmltext, langid, mixing, ngram_join, pii, tokencount, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -86,3 +86,11 @@ def op9_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     return chat.perspectives(table(spark, folder, "conversations"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns, found = chatrepair.repair(chatrepair.damage(table(spark, folder, "conversations")))
+    digests = chatrepair.text_digests(turns).withColumnRenamed("conv_id", "own")
+    joined = found.join(digests, F.col("conv_id").eqNullSafe(F.col("own")), "left").drop("own")
+    return joined.select("*", F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")).drop("sha256")

@@ -126,3 +126,64 @@ SELECT conv_id, viewer AS speaker, block::BIGINT AS block, count(*) AS n_turns,
   coalesce(sum(length(body)) FILTER (own), 0)::BIGINT AS n_learn
 FROM o GROUP BY conv_id, viewer, block
 """
+
+
+def _least(*values: str) -> str:
+    """The least of ``cost|audit`` values: costs have nine digits, so text order goes by cost, then by audit."""
+    return f"least({', '.join(values)})"
+
+
+def _plus(value: str, cost: str, letters: str) -> str:
+    return f"(lpad((({value})[1:9]::BIGINT + {cost})::VARCHAR, 9, '0') || ({value})[10:] || '{letters}')"
+
+
+def _repair() -> str:
+    """Forward over the rows of each conversation with the least (cost, audit) that ends in nothing (n), s, u or a."""
+    never = "'900000000'"
+    to_user = _least("u", _plus("a", "2", "I"), _plus("n", "2", "I"), _plus("s", "2", "I"))
+    to_assistant = _least("a", _plus("u", "2", "I"), _plus("n", "4", "II"), _plus("s", "4", "II"))
+    closed = f"n, s, {to_user} AS u, {to_assistant} AS a"
+    users = [_plus(f"CASE WHEN c = 'u' THEN {p} ELSE {never} END", "cut", "K") for p in "nsa"] + [_plus(p, "2 + cut", "R") for p in "nsa"]
+    answers = [_plus(f"CASE WHEN c = 'a' THEN u ELSE {never} END", "cut", "K"), _plus("u", "2 + cut", "R")]
+    after = {"n": [], "s": [_plus(f"CASE WHEN c = 's' THEN n ELSE {never} END", "cut", "K")], "u": users, "a": answers}
+    moved = ", ".join(f"CASE WHEN goes THEN {_plus(k, '3', 'D')} ELSE {_least(_plus(k, '3', 'D'), *v)} END AS {k}" for k, v in after.items())
+    return f"""
+WITH RECURSIVE bits AS (SELECT i::BIGINT AS i, 0 AS k, i::BIGINT AS v FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+crc AS (SELECT list(v ORDER BY i) AS tab FROM bits WHERE k = 8),
+raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+kinds AS (SELECT raw.*, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda c: ascii(c)::BIGINT)),
+    lambda r, b: xor(r >> 8, tab[xor(r, b) % 256 + 1])), 4294967295) % 20 AS kind FROM raw, crc),
+damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM kinds)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+    list_last(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]')) AS ending FROM damaged),
+told AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen FROM placed),
+f AS (SELECT *, left(role, 1) AS c, ending IS NULL AS blank, ending IS NOT NULL AND seen > 1 AS duplicate,
+    coalesce(ending NOT IN ('.', '!', '?') AND seen = 1, false) AS truncated,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || '>' || left(role, 1) AS pair FROM told),
+counted AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (pair NOT IN ('s>u', 'u>a', 'a>u')) AS illegal, max(i) AS size FROM f GROUP BY conv_id),
+dp AS (SELECT conv_id, size, 0::BIGINT AS i, '000000000' AS n, {never} AS s, {never} AS u, {never} AS a FROM counted
+  UNION ALL SELECT conv_id, size, i, {moved} FROM (
+    SELECT conv_id, size, i, c, goes, cut, {closed} FROM (
+      SELECT d.conv_id, d.size, f.i, f.c, f.blank OR f.duplicate AS goes, f.truncated::INT AS cut, d.n, d.s, d.u, d.a
+      FROM dp d JOIN f ON f.conv_id IS NOT DISTINCT FROM d.conv_id AND f.i = d.i + 1) x) y),
+best AS (SELECT conv_id, least(n, a)[1:9]::BIGINT AS cost, least(n, a)[10:] AS audit FROM (SELECT conv_id, {closed} FROM dp WHERE i = size) x),
+letters AS (SELECT conv_id, unnest(string_split(audit, '')) AS letter, unnest(range(1, length(audit) + 1)) AS k FROM best WHERE audit <> ''),
+steps AS (SELECT *, sum((letter <> 'I')::INT) OVER w AS i, sum((letter <> 'D')::INT) OVER w AS place FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY k)),
+done AS (SELECT p.*, f.role, f.text, max((place = 1 AND letter = 'K' AND c = 's')::INT) OVER (PARTITION BY p.conv_id) AS lead
+  FROM steps p LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i AND letter <> 'I'),
+texts AS (SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - lead) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS repaired FROM done WHERE letter <> 'D' GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+ORACLE["op13_conversation_repair"] = _repair()
