@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, chatrepair, decontam, embedding_dedup, htmltext, langid, mixing, ngram_join, pii, tokencount, warc
+from tallyloom.llm import chat, chatrepair, decontam, embedding_dedup, htmltext, langid, lexsearch, mixing, ngram_join, pii, tokencount, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,6 +88,18 @@ def op10_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     return chat.perspectives(table(spark, folder, "conversations"))
 
 
+@query
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexsearch.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(*toxicity.sample(docs, table(spark, folder, "labels")))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 @query
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     turns, found = chatrepair.repair(chatrepair.damage(table(spark, folder, "conversations")))

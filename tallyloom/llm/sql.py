@@ -187,3 +187,19 @@ LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN texts t O
 
 
 ORACLE["op13_conversation_repair"] = _repair()
+
+TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+ORACLE["op11_lexical_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, unnest(regexp_extract_all({LOWER}, {TERM})) AS term FROM documents),
+tf AS (SELECT row, any_value(doc_id) AS doc_id, term, count(*)::BIGINT AS tf FROM d GROUP BY row, term),
+n AS (SELECT row, sum(tf)::BIGINT AS n FROM tf GROUP BY row),
+whole AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n),
+i AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest(regexp_extract_all({LOWER}, {TERM})) AS term FROM benchmark) x),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, whole GROUP BY term),
+m AS (SELECT row, 100 - 50 + (50 * n * docs) // terms AS m FROM n, whole),
+s AS (SELECT item_id, row, any_value(doc_id) AS doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM i JOIN tf USING (term) JOIN w USING (term) JOIN m USING (row) GROUP BY item_id, row),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+"""
