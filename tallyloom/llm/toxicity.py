@@ -8,7 +8,8 @@ A document's score is a logistic function of its worst window and its number of
 embedding did not learn from.
 
 The model is fitted on a bounded sample: the ``SAMPLE_DOCS`` labelled documents of at most ``SAMPLE_TEXT_BYTES`` bytes that come
-first by a hash of their id, and of those as many as have ``SAMPLE_WINDOWS`` windows. Every whole text is scored.
+first by a hash of their id. Vectors are learned from all windows of its toxic documents and every ``CLEAN_EVERY``-th of the
+others, until there are ``SAMPLE_WINDOWS``. Every whole text is scored.
 """
 
 from __future__ import annotations
@@ -28,12 +29,14 @@ NGRAMS = (3, 4, 5)
 WINDOW = 16
 LONGEST_WORD = 64  # bytes; a longer run of letters counts as several words
 DIMENSIONS = 8
-ROUNDS = 4
+ROUNDS = 6
 RATE = 0.2
 BATCH = 256
-SAMPLE_DOCS = 4_000
+SAMPLE_DOCS = 5_000
+MARGIN = 2  # labelled documents looked at for each one of the sample; some are too long or missing
 SAMPLE_TEXT_BYTES = 32_768
-SAMPLE_WINDOWS = 120_000
+SAMPLE_WINDOWS = 90000
+CLEAN_EVERY = 2
 CALIBRATION_SHARE = 0.25
 RIDGE = 1.0
 PIECE_BYTES = 1 << 18
@@ -144,14 +147,33 @@ def worst_windows(texts: list[bytes], weights: np.ndarray, bias: float) -> tuple
     return worst, sizes
 
 
+def _learned_windows(texts: list[bytes], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct n-grams window by window with their share of the window, where each window starts, and its text."""
+    columns, shares, sizes, owners, taken = [], [], [], [], 0
+    for i, text in enumerate(texts):
+        grams, windows, own = window_grams([text])
+        if not toxic[i]:
+            kept = (windows + i) % CLEAN_EVERY == 0
+            grams, windows = grams[kept], windows[kept]
+        if not len(grams):
+            continue
+        keys, count = np.unique((windows << BITS) + grams, return_counts=True)
+        first = np.flatnonzero(np.diff(keys >> BITS, prepend=-1))
+        size = np.diff(np.append(first, len(keys)))
+        columns.append((keys & ((1 << BITS) - 1)).astype(np.int32))
+        shares.append((count / np.repeat(np.add.reduceat(count, first), size)).astype(np.float32))
+        sizes.append(size)
+        owners.append(np.full(len(size), i))
+        taken += len(size)
+        if taken >= SAMPLE_WINDOWS:
+            break
+    return np.concatenate(columns), np.concatenate(shares), np.concatenate(([0], np.cumsum(np.concatenate(sizes)))), np.concatenate(owners)
+
+
 def _embed(texts: list[bytes], toxic: np.ndarray, seed: int) -> tuple[np.ndarray, float]:
     """Vectors and softmax by stochastic gradients with per-weight step sizes; returns the weight of each n-gram and the bias."""
-    grams, windows, owners = window_grams(texts)
-    keys, count = np.unique((windows << BITS) + grams, return_counts=True)
-    row, column = keys >> BITS, keys & ((1 << BITS) - 1)
+    column, share, start, owners = _learned_windows(texts, toxic)
     label = toxic[owners].astype(np.int64)
-    start = np.searchsorted(row, np.arange(len(owners) + 1))
-    share = (count / np.add.reduceat(count, start[:-1])[row]).astype(np.float32)
     wanted = np.eye(2, dtype=np.float32)[label]
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.1, (1 << BITS, DIMENSIONS)).astype(np.float32)
@@ -244,17 +266,11 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     the documents of ``held_out``, teach nothing."""
     own = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic")).filter("id IS NOT NULL AND toxic IS NOT NULL")
     named = own.filter(~held_out("id")).groupBy("id").agg(F.max("toxic").alias("toxic")).withColumn("rank", F.xxhash64("id"))
+    share = min(1.0, MARGIN * SAMPLE_DOCS / max(1, named.count()))  # of the hash range: what is left is small wherever it is sorted
+    low = named.filter(F.col("rank") <= int(share * ((1 << 64) - 1)) - (1 << 63))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter(F.octet_length("text") <= SAMPLE_TEXT_BYTES)
-    rows = texts.join(named, "id").orderBy("rank", "id", "text").limit(SAMPLE_DOCS).collect()
-    taken, toxic, windows = [], [], 0
-    for r in rows:
-        text = r.text.encode("utf-8", "replace")
-        windows += -(-len(text) // (8 * WINDOW))
-        if windows > SAMPLE_WINDOWS:
-            break
-        taken.append(text)
-        toxic.append(int(r.toxic > 0))
-    return taken, np.array(toxic, np.int64)
+    rows = texts.join(low, "id").orderBy("rank", "id", "text").limit(SAMPLE_DOCS).collect()
+    return [r.text.encode("utf-8", "replace") for r in rows], np.array([r.toxic > 0 for r in rows], np.int64)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
