@@ -20,6 +20,7 @@ from tallyloom.llm.words import chunks
 NGRAMS = (2, 4)
 FEATURE_BITS = 15
 FEATURES = len(NGRAMS) << FEATURE_BITS
+PIECE = 1 << 18  # characters worked on at a time; a longer text is counted in pieces
 SLICES = 64
 SMOOTHING = 0.05
 STEPS = 6
@@ -34,25 +35,53 @@ _FOLD[65:91] = np.arange(97, 123)
 _FOLD[128:] = np.arange(128, 256)
 
 
-def _features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed n-grams of all texts, and the text each belongs to. Runs of anything but letters count as one space."""
+def _codes(folded: np.ndarray, n: int) -> np.ndarray:
+    code = np.zeros(max(0, len(folded) - n + 1), np.uint32)
+    for i in range(n):
+        code = code * np.uint32(257) + folded[i : i + len(code)]
+    return (code * np.uint32(2654435761)) >> np.uint32(32 - FEATURE_BITS)
+
+
+def _long_counts(text: str) -> np.ndarray:
+    """How often each feature occurs in one text, counted piece by piece; pieces end at spaces, where there are some."""
+    counts, tail, start = np.zeros(FEATURES, np.int64), np.array([], np.uint32), 0
+    while start < len(text):
+        end = start + PIECE
+        if end < len(text):
+            end = max(text.rfind(" ", start + 1, end), 0) or end
+        raw = text[start:end].lower().encode("utf-8", "replace")
+        start = end
+        folded = _FOLD[np.frombuffer(raw + b" " * (end >= len(text)), np.uint8)]
+        last = tail[-1] if len(tail) else 0
+        folded = folded[(folded != 32) | (np.concatenate(([last], folded[:-1])) != 32)]
+        for k, n in enumerate(NGRAMS):
+            lead = tail[max(0, len(tail) - n + 1) :]
+            counts[k << FEATURE_BITS : (k + 1) << FEATURE_BITS] += np.bincount(_codes(np.concatenate((lead, folded)), n), minlength=1 << FEATURE_BITS)
+        tail = np.concatenate((tail, folded))[1 - max(NGRAMS) :]
+    return counts
+
+
+def _counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashed n-grams of each text, how often each occurs, and the text it belongs to, text by text. Runs of
+    anything but letters count as one space."""
+    if len(texts) == 1 and len(texts[0]) > PIECE:
+        counts = _long_counts(texts[0])
+        features = np.flatnonzero(counts)
+        return features, counts[features], np.zeros(len(features), np.int64)
     raw = [t.lower().encode("utf-8", "replace") for t in texts]
     folded = _FOLD[np.frombuffer(b" ".join(raw) + b" ", np.uint8)]
     owner = np.repeat(np.arange(len(raw), dtype=np.uint32), [len(r) + 1 for r in raw])
     keep = np.ones(len(folded), bool)
     keep[1:] = (folded[1:] != 32) | (folded[:-1] != 32)
     folded, owner = folded[keep], owner[keep]
-    found, owners = [], []
+    keys = []
     for k, n in enumerate(NGRAMS):
-        size = max(0, len(folded) - n + 1)
-        code = np.zeros(size, np.uint32)
-        for i in range(n):
-            code = code * np.uint32(257) + folded[i : i + size]
-        code = (code * np.uint32(2654435761)) >> np.uint32(32 - FEATURE_BITS)
-        same = owner[:size] == owner[n - 1 : n - 1 + size]
-        found.append(code[same] + np.uint32(k << FEATURE_BITS))
-        owners.append(owner[:size][same])
-    return np.concatenate(found), np.concatenate(owners)
+        code = _codes(folded, n)
+        same = owner[: len(code)] == owner[n - 1 : n - 1 + len(code)]
+        keys.append(owner[: len(code)][same].astype(np.int64) * FEATURES + code[same] + (k << FEATURE_BITS))
+    keys = np.sort(np.concatenate(keys))
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))[: len(keys)])
+    return keys[first] % FEATURES, np.diff(np.append(first, len(keys))), keys[first] // FEATURES
 
 
 def has_letter(text: str | None) -> bool:
@@ -63,14 +92,12 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tables: dict[str, np.ndarray] = {}
     for batch in batches:
         texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for lo, hi in chunks(texts):
-            features, owner = _features(texts[lo:hi])
-            names = sorted(set(langs[lo:hi]))
-            code = {x: i for i, x in enumerate(names)}
-            which = np.array([code[x] for x in langs[lo:hi]], np.int64)[owner]
-            counts = np.bincount(which * FEATURES + features, minlength=len(names) * FEATURES).reshape(-1, FEATURES)
-            for name, row in zip(names, counts, strict=True):
-                tables[name] = tables[name] + row if name in tables else row
+        for lo, hi in chunks(texts, PIECE):
+            features, count, owner = _counts(texts[lo:hi])
+            own = np.array(langs[lo:hi], object)[owner]
+            for name in set(langs[lo:hi]):
+                table = tables.setdefault(name, np.zeros(FEATURES, np.int64))
+                np.add.at(table, features[own == name], count[own == name])
     width = FEATURES // SLICES
     rows = [(n, i, t[i * width : (i + 1) * width].astype(np.int64).tobytes()) for n, t in tables.items() for i in range(SLICES)]
     if rows:
@@ -106,26 +133,36 @@ def _estimate(like: np.ndarray, count: np.ndarray, starts: np.ndarray, owner: np
 
 
 def mixtures(texts: list[str], likelihood: np.ndarray) -> np.ndarray:
-    """Language shares of each text, zero outside the selected set. Every text must have a letter."""
-    features, owner = _features(texts)
-    keys = np.sort(owner.astype(np.uint64) * np.uint64(FEATURES) + features)
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    count = np.diff(np.append(first, len(keys))).astype(np.float32)
-    owner, features = (keys[first] // np.uint64(FEATURES)).astype(np.int64), (keys[first] % np.uint64(FEATURES)).astype(np.int64)
+    """Language shares of each text, zero outside the selected set. Every text must have a letter.
+
+    Each text goes on with the ``ROUGH`` languages that explain it best alone, found over a few languages at a time, so the
+    memory does not follow the number of languages.
+    """
+    features, count, owner = _counts(texts)
+    count = count.astype(np.float32)
     starts = np.searchsorted(owner, np.arange(len(texts)))
     total = np.add.reduceat(count, starts)
-    like = likelihood[features]
+    n_langs = likelihood.shape[1]
+    if n_langs <= ROUGH:
+        return _selected(likelihood[features], count, starts, owner, total)
+    rough = np.concatenate(
+        [np.add.reduceat(count[:, None] * np.log(likelihood[features, k : k + ROUGH]), starts) for k in range(0, n_langs, ROUGH)], axis=1
+    )
+    langs = np.sort(np.argsort(-rough, axis=1, kind="stable")[:, :ROUGH], axis=1)
+    best = np.zeros((len(texts), n_langs), np.float32)
+    np.put_along_axis(best, langs, _selected(likelihood[features[:, None], langs[owner]], count, starts, owner, total), axis=1)
+    return best
+
+
+def _selected(like: np.ndarray, count: np.ndarray, starts: np.ndarray, owner: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Shares of the languages of the columns of ``like`` in each text, zero outside the selected set."""
     like /= like.max(axis=1, keepdims=True)
     alone = np.add.reduceat(count[:, None] * np.log(like), starts)
     n_langs = like.shape[1]
     share = np.full(alone.shape, 1.0 / n_langs, np.float32)
-    if n_langs > ROUGH:
-        low = np.partition(alone, n_langs - ROUGH, axis=1)[:, n_langs - ROUGH]
-        share = (alone >= low[:, None]).astype(np.float32)
-        share /= share.sum(axis=1, keepdims=True)
     share, joint = _estimate(like, count, starts, owner, total, share, STEPS)
     best = np.zeros_like(share)
-    best[np.arange(len(texts)), alone.argmax(axis=1)] = 1.0
+    best[np.arange(len(alone)), alone.argmax(axis=1)] = 1.0
     score = alone.max(axis=1)
     penalty = PENALTY * np.log(total)
     rank = np.argsort(np.argsort(-share, axis=1, kind="stable"), axis=1, kind="stable")
@@ -160,7 +197,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
             lang, score, size = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), np.int32)
             sure = [i for i, t in enumerate(texts) if names and has_letter(t)]
             known = [texts[i] for i in sure]
-            for lo, hi in chunks(known):
+            for lo, hi in chunks(known, PIECE):
                 found = mixtures(known[lo:hi], shared.value)
                 for i, row in zip(sure[lo:hi], found, strict=True):
                     lang[i], score[i], size[i] = names[int(row.argmax())], min(1.0, float(row.max())), int((row > 0).sum())

@@ -32,15 +32,31 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        tables = []
-        for base in (_BASE, _INVERSE):
-            table = np.full(size, base, U64)
-            table[0] = 1
-            tables.append(np.cumprod(table, dtype=U64))
+    """Powers of the base and of its inverse. Those for a chunk are kept; a longer table, for a single longer word, is not."""
+    if _powers and n <= len(_powers[0]):
+        return _powers[0], _powers[1]
+    tables = []
+    for base in (_BASE, _INVERSE):
+        table = np.full(max(n, CHUNK_BYTES + 1), base, U64)
+        table[0] = 1
+        tables.append(np.cumprod(table, dtype=U64))
+    if n <= CHUNK_BYTES + 1:
         _powers[:] = tables
-    return _powers[0], _powers[1]
+    return tables[0], tables[1]
+
+
+def _word_hashes(joined: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hashes of the words at ``first`` to ``last``, over slices of at most ``CHUNK_BYTES`` (or one longer word)."""
+    out, i = np.empty(len(first), U64), 0
+    while i < len(first):
+        j = max(i + 1, int(np.searchsorted(last, first[i] + CHUNK_BYTES, side="right")))
+        piece, lo, hi = joined[first[i] : last[j - 1]], first[i:j] - first[i], last[i:j] - first[i]
+        up, down = _power_tables(len(piece))
+        sums = np.cumsum(_BYTE[piece] * up[: len(piece)], dtype=U64)
+        before = np.where(lo > 0, sums[lo - 1], U64(0))
+        out[i:j] = mix((sums[hi - 1] - before) * down[lo] + (hi - lo).astype(U64))
+        i = j
+    return out
 
 
 def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
@@ -63,10 +79,7 @@ def words(texts: list[bytes], punctuation: bool = True) -> tuple[np.ndarray, np.
     space = (_SPACE if punctuation else _NOT_WORD)[joined]
     edges = np.flatnonzero(np.diff(np.concatenate(([True], space)).astype(np.int8)))
     first, last = edges[0::2], edges[1::2]
-    up, down = _power_tables(len(joined))
-    sums = np.cumsum(_BYTE[joined] * up[: len(joined)], dtype=U64)
-    before = np.where(first > 0, sums[first - 1], U64(0))
-    hashes = mix((sums[last - 1] - before) * down[first] + (last - first).astype(U64))
+    hashes = _word_hashes(joined, first, last)
     bounds = np.searchsorted(first, np.concatenate(([0], np.cumsum(lengths))))
     return hashes, bounds, first, last
 

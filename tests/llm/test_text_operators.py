@@ -256,3 +256,92 @@ def test_luhn_and_mod97(spark):
         pii.luhn(F.col("c")).alias("c"), pii.mod97(F.col("i")).alias("i")
     ).first()
     assert row.c and row.i
+
+
+def plain_mixture(text, likelihood):
+    """Expectation maximisation over every n-gram one by one, then the set of the best penalised likelihood."""
+    counts = {}
+    folded = re.sub(rb"[^a-z\x80-\xff]+", b" ", text.lower().encode() + b" ")
+    for k, n in enumerate(langid.NGRAMS):
+        for i in range(len(folded) - n + 1):
+            code = 0
+            for byte in folded[i : i + n]:
+                code = (code * 257 + byte) % (1 << 32)
+            feature = (code * 2654435761 % (1 << 32) >> (32 - langid.FEATURE_BITS)) + (k << langid.FEATURE_BITS)
+            counts[feature] = counts.get(feature, 0) + 1
+    features, count = np.array(list(counts)), np.array(list(counts.values()), float)
+    like = likelihood[features].astype(float)
+
+    def fitted(langs, start):
+        share = start / start.sum()
+        for _ in range(langid.STEPS):
+            weighted = share * like[:, langs]
+            share = (weighted / weighted.sum(axis=1, keepdims=True) * count[:, None]).sum(axis=0) / count.sum()
+        return share, (count * np.log((share * like[:, langs]).sum(axis=1))).sum()
+
+    alone = (count[:, None] * np.log(like)).sum(axis=0)
+    rough = np.sort(np.argsort(-alone, kind="stable")[: langid.ROUGH])
+    share, _ = fitted(rough, np.ones(len(rough)))
+    best, score = {int(alone.argmax()): 1.0}, alone.max()
+    for k in range(2, langid.LARGEST_SET + 1):
+        chosen = np.argsort(-share, kind="stable")[:k]
+        found, fit = fitted(rough[chosen], np.maximum(share[chosen], 1e-6))
+        if fit - (k - 1) * langid.PENALTY * np.log(count.sum()) > score:
+            best, score = dict(zip(rough[chosen].tolist(), found.tolist(), strict=True)), fit - (k - 1) * langid.PENALTY * np.log(count.sum())
+    return best
+
+
+@pytest.mark.parametrize("n_langs", [4, 40])
+def test_language_mixtures_against_a_plain_estimate(small, n_langs):
+    import duckdb
+
+    rows = duckdb.sql(f"SELECT text, lang FROM '{small}/documents.parquet' WHERE lang IS NOT NULL AND length(text) BETWEEN 200 AND 3000").fetchall()
+    batch = pa.record_batch({"text": [t for t, _ in rows], "lang": [x for _, x in rows]})
+    names, tables = sorted({x for _, x in rows}), {}
+    for part in langid._counted(iter([batch])):
+        for name, at, counts in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+            tables.setdefault(name, np.zeros((langid.SLICES, langid.FEATURES // langid.SLICES)))[at] += np.frombuffer(counts, np.int64)
+    table = np.stack([tables[n].reshape(len(langid.NGRAMS), -1) for n in names]) + langid.SMOOTHING
+    own = (table / table.sum(axis=2, keepdims=True)).reshape(len(names), -1).T
+    mixed = [own * np.random.default_rng(i).uniform(0.3, 1, own.shape) for i in range(n_langs // 4 - 1)]
+    likelihood = np.concatenate([own, *mixed], axis=1).astype(np.float32)
+    texts = [t for t, _ in rows[:25]] + [rows[i][0] + " " + rows[-1 - i][0] for i in range(10)]
+    got = langid.mixtures(texts, likelihood)
+    for text, shares in zip(texts, got, strict=True):
+        want = plain_mixture(text, likelihood)
+        assert {i for i, s in enumerate(shares) if s > 0} == set(want)
+        assert all(abs(shares[i] - s) < 1e-3 for i, s in want.items())
+
+
+def test_language_of_long_texts_in_pieces(monkeypatch):
+    text = "Où est-ce que l'été, ΣΑΣ? " * 400 + "the end"
+    whole = np.zeros(langid.FEATURES, np.int64)
+    features, count, _ = langid._counts([text])
+    whole[features] = count
+    monkeypatch.setattr(langid, "PIECE", 37)
+    assert np.array_equal(whole, langid._long_counts(text))
+
+
+def test_language_memory_does_not_follow_languages_and_length():
+    """Peak of a fresh process: 1 MB of text in 200 languages, then one text of 50 MB."""
+    import subprocess
+    import sys
+
+    code = """
+import resource, numpy as np
+from tallyloom.llm import langid
+from tallyloom.llm.words import chunks
+peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024
+words = np.random.default_rng(1).choice([f"{a}{b}{c}" for a in "abcde" for b in "aeiou" for c in "xyzst"], 260_000)
+texts = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
+likelihood = np.random.default_rng(2).uniform(1e-6, 1e-3, (langid.FEATURES, 200)).astype(np.float32)
+before = peak()
+for lo, hi in chunks(texts, langid.PIECE):
+    langid.mixtures(texts[lo:hi], likelihood)
+langs = peak() - before
+langid.mixtures([" ".join(texts) * 50], likelihood)
+print(langs, peak() - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=str(langid.__file__).rsplit("/tallyloom/", 1)[0])
+    langs, long = map(float, out.stdout.split())
+    assert langs < 150 and long < 250
