@@ -27,8 +27,8 @@ def load_recipe(path: str) -> Recipe:
             import yaml
         except ImportError as missing:
             raise SystemExit("a YAML recipe needs the yaml package; JSON recipes need nothing") from missing
-        return Recipe.from_mapping(yaml.safe_load(text))
-    return Recipe.from_mapping(json.loads(text))
+        return Recipe.from_mapping(yaml.safe_load(text), path)
+    return Recipe.from_mapping(json.loads(text), path)
 
 
 def _source(spark: SparkSession, read, path: str, args) -> DataFrame:
@@ -82,7 +82,7 @@ def _findings(spark: SparkSession, args) -> None:
 def _synthetic(spark: SparkSession, args) -> None:
     pairs = synthetic.synthetic_pairs(synthetic.question_numbers(spark, args.n), args.seed)
     writers.write_jsonl(pairs, f"{args.out}/synthetic.jsonl")
-    writers.write_descriptor(spark, {"synthetic": ("dpo", "synthetic.jsonl")}, f"{args.out}/dataset_info.json")
+    writers.write_descriptor({"synthetic": ("dpo", "synthetic.jsonl")}, f"{args.out}/dataset_info.json")
 
 
 def _compare_runs(spark: SparkSession, args) -> None:

@@ -76,11 +76,12 @@ def manifest(
     policy_version: str = "v1",
     git_commit: str | None = None,
     created_at: Column | None = None,
+    recipe_path: str | None = None,
 ) -> DataFrame:
     """The one-row export manifest.
 
-    ``sources`` has one row per role (location, revision, raw and exported rows), ``exports`` one row per written set
-    (path, digest, bytes, rows). Both have a handful of rows by construction: they are lists inside the document.
+    ``sources`` has one row per role (location, revisions, raw and exported rows), ``exports`` one row per written set
+    (path, digest, bytes, rows, and its files with their SHA-256). Both have a handful of rows by construction: they are lists inside the document.
     """
 
     def as_list(df: DataFrame) -> Column:
@@ -90,6 +91,7 @@ def manifest(
         F.lit(1).alias("schema_version"),
         (F.current_timestamp() if created_at is None else created_at).cast("string").alias("created_at"),
         F.lit(recipe_id).alias("recipe_id"),
+        F.lit(recipe_path).cast("string").alias("recipe_path"),
         F.lit(policy_version).alias("filter_policy_version"),
         F.struct(F.lit(min_chars).cast("bigint").alias("min_chars"), F.lit(max_chars).cast("bigint").alias("max_chars")).alias(
             "filters"
@@ -100,6 +102,11 @@ def manifest(
     )
 
 
+def as_json(document: DataFrame) -> str:
+    """A one-row document as JSON text, missing values as nulls."""
+    return document.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).first()[0]
+
+
 def quality_document(
     sft: DataFrame, dpo: DataFrame, paths: dict[str, str] | None = None, created_at: Column | None = None
 ) -> DataFrame:

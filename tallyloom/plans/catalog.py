@@ -13,6 +13,7 @@ from tallyloom.functions.messages import last_assistant
 from tallyloom.operators import curate, evalruns, export, fingerprint, quality, ranking, retrieval, selection, synthetic
 from tallyloom.plans import bindings as B
 from tallyloom.plans import jobs
+from tallyloom.plans.recipe import Recipe
 from tallyloom.session import materialize, scratch_path
 from tallyloom.sources import evaljson, readers, writers
 
@@ -133,6 +134,43 @@ def export_file_rows(spark: SparkSession, folder: str) -> DataFrame:
     return hashed.agg(F.sum("rows").alias("rows"), F.min(F.length("sha256")).alias("hash_length"))
 
 
+def _exported(spark: SparkSession, folder: str) -> jobs.ExportResult:
+    """The three exports of the given tables as one published folder."""
+    raws = {"sft": B.sft_raw(spark, folder), "dpo": B.prefs_raw(spark, folder), "cpt": B.cpt_raw(spark, folder)}
+    frames = {"sft": sft_examples(spark, folder), "dpo": dpo_pairs(spark, folder), "cpt": cpt_corpus(spark, folder)}
+    return jobs.export_frames(spark, scratch_path(spark, "exports"), raws, frames, Recipe("tables"))
+
+
+_WRITTEN = "exports ARRAY<STRUCT<name: STRING, digest: STRING, rows: BIGINT, files: ARRAY<STRUCT<file: STRING, bytes: BIGINT, rows: BIGINT, sha256: STRING>>>>"
+
+
+@query
+def manifest_files(spark: SparkSession, folder: str) -> DataFrame:
+    """What the manifest says of an export's files, held against the files themselves."""
+    done = _exported(spark, folder)
+    listed = spark.read.schema(_WRITTEN).json(done.manifest_path).select(F.inline("exports")).select("name", "digest", F.inline("files"))
+    found = reduce(DataFrame.unionByName, [fingerprint.file_hashes(spark, p) for p in done.paths.values()])
+    found = found.select(F.regexp_extract("path", r"([^/]+)\.jsonl/[^/]+$", 1).alias("name"), F.regexp_extract("path", r"[^/]+$", 0).alias("file"), F.struct("bytes", "rows", "sha256").alias("own"))
+    same = F.coalesce(F.col("own") == F.struct("bytes", "rows", "sha256"), F.lit(False))
+    return listed.join(found, ["name", "file"], "full").groupBy("name").agg(
+        F.max("digest").alias("digest"), F.sum("rows").alias("rows"), F.count_if(~same).alias("files_that_differ")
+    )
+
+
+@query
+def export_descriptor(spark: SparkSession, folder: str) -> DataFrame:
+    """The descriptor as a trainer reads it, with the rows of the files it names."""
+    done = _exported(spark, folder)
+    entry = "STRUCT<file_name: STRING, formatting: STRING, ranking: BOOLEAN, columns: MAP<STRING, STRING>>"
+    text = spark.read.text(done.descriptor_path, wholetext=True)
+    entries = text.select(F.explode(F.from_json("value", f"MAP<STRING, {entry}>")).alias("name", "e")).select("name", "e.*")
+    rows = reduce(DataFrame.unionByName, [spark.read.text(p).select(F.lit(f"{k}.jsonl").alias("file_name")) for k, p in done.paths.items()])
+    counted = rows.groupBy("file_name").agg(F.count("*").alias("rows"))
+    return entries.join(counted, "file_name").select(
+        "name", F.col("file_name").alias("file"), "formatting", "ranking", F.explode("columns").alias("role", "column"), "rows"
+    )
+
+
 # --- sources as files -------------------------------------------------------------------------------------------
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import evalruns, export, fingerprint, quality, ranking, retrieval
 from tallyloom.plans.recipe import Recipe, Source
 from tallyloom.session import materialize
-from tallyloom.sources import evaljson, readers, writers
+from tallyloom.sources import evaljson, exporter, readers, writers
 
 EXPORT_SCHEMAS = {"sft": readers.SFT_EXPORT, "dpo": readers.DPO_EXPORT, "cpt": readers.CPT_EXPORT}
 
@@ -24,64 +24,70 @@ class ExportResult:
     descriptor_path: str
 
 
-def _source_line(spark: SparkSession, role: str, source: Source, raw_rows: int, exported: int) -> DataFrame:
+def _sources(spark: SparkSession, lines: list[tuple[str, Source, int, int]]) -> DataFrame:
     return spark.createDataFrame(
-        [(role, source.location, source.split, source.revision, raw_rows, exported)],
-        "role STRING, location STRING, split STRING, revision STRING, raw_rows BIGINT, exported_rows BIGINT",
+        [(role, s.location, s.config, s.split, s.revision, s.resolved, raw, exported) for role, s, raw, exported in lines],
+        "role STRING, location STRING, config STRING, split STRING, revision_requested STRING, revision_resolved STRING, "
+        "raw_rows BIGINT, exported_rows BIGINT",
     )
 
 
-def _finish_export(
+def _exports(spark: SparkSession, written: dict[str, list[exporter.File]]) -> DataFrame:
+    rows = [
+        (role, f"{role}.jsonl", str(sum(int(f.digest) for f in files)), sum(f.bytes for f in files), sum(f.rows for f in files),
+         [(f.file, f.bytes, f.rows, f.sha256) for f in files])
+        for role, files in written.items()
+    ]
+    return spark.createDataFrame(
+        rows,
+        "name STRING, path STRING, digest STRING, bytes BIGINT, rows BIGINT, "
+        "files ARRAY<STRUCT<file: STRING, bytes: BIGINT, rows: BIGINT, sha256: STRING>>",
+    )
+
+
+def export_frames(
     spark: SparkSession,
     out: str,
     raws: dict[str, DataFrame],
     frames: dict[str, DataFrame],
     recipe: Recipe,
-    allow_empty: bool,
-    ordered: bool,
-    git_commit: str | None,
-    overwrite: bool,
+    allow_empty: bool = False,
+    ordered: bool = True,
+    git_commit: str | None = None,
+    overwrite: bool = False,
 ) -> ExportResult:
-    """Write, fingerprint what was written, and describe it.
+    """Write and describe the exports of one folder (``frames`` by role, made from ``raws``), all or nothing.
 
-    Every export is looked at for a first row before any is written, so one that is empty leaves nothing behind. Counts
-    come from what was written. ``overwrite`` replaces the files of an earlier or broken run.
+    The folder is built beside ``out`` and takes its place when everything in it is written, the manifest last; an empty
+    export or a failure leaves what was there before. Rows, bytes and hashes are those the writing tasks counted, so
+    nothing is read back. ``overwrite`` replaces an earlier folder.
     """
-    if not allow_empty:
+    written, lines = {}, []
+    with exporter.published(out, overwrite) as stage:
         for role, frame in frames.items():
-            export.require_rows(int(not frame.isEmpty()), role)
-    mode = "overwrite" if overwrite else "errorifexists"
-    paths = {role: f"{out}/{role}.jsonl" for role in frames}
-    rows, sources, prints = {}, [], []
-    for role, frame in frames.items():
-        writers.write_jsonl(frame, paths[role], order_by="pos" if ordered else None, mode=mode)
-        schema = EXPORT_SCHEMAS[role]
-        columns = [part.split()[0] for part in schema.split(", ")]
-        mark = fingerprint.export_fingerprint(spark, paths[role], schema, columns).first()
-        rows[role] = mark["rows"]
-        sources.append(
-            _source_line(spark, role, recipe.sources.get(role, Source()), raws[role].count(), mark["rows"])
-        )
-        prints.append(
-            spark.createDataFrame(
-                [(role, paths[role], mark["digest"], mark["bytes"] or 0, mark["rows"])],
-                "name STRING, path STRING, digest STRING, bytes BIGINT, rows BIGINT",
-            )
+            columns = [part.split()[0] for part in EXPORT_SCHEMAS[role].split(", ")]
+            hashed = fingerprint.row_hash(*[F.col(c) for c in columns])
+            files = exporter.write_lines(frame, f"{stage}/{role}.jsonl", hashed, columns=columns, order_by="pos" if ordered else None)
+            exported = sum(f.rows for f in files)
+            export.require_rows(exported, role, allow_empty)
+            written[role] = files
+            lines.append((role, recipe.sources.get(role, Source()), raws[role].count(), exported))
+        document = fingerprint.manifest(
+            spark,
+            _sources(spark, lines),
+            _exports(spark, written),
+            recipe_id=recipe.recipe_id,
+            min_chars=recipe.min_chars,
+            max_chars=recipe.max_chars,
+            policy_version=recipe.policy_version,
+            git_commit=git_commit,
+            recipe_path=recipe.path,
         )
-    document = fingerprint.manifest(
-        spark,
-        reduce(DataFrame.unionByName, sources),
-        reduce(DataFrame.unionByName, prints),
-        recipe_id=recipe.recipe_id,
-        min_chars=recipe.min_chars,
-        max_chars=recipe.max_chars,
-        policy_version=recipe.policy_version,
-        git_commit=git_commit,
-    )
-    manifest_path, descriptor_path = f"{out}/manifest.json", f"{out}/dataset_info.json"
-    writers.write_document(document, manifest_path, mode)
-    writers.write_descriptor(spark, {role: (role, f"{role}.jsonl") for role in frames}, descriptor_path, mode)
-    return ExportResult(paths, rows, manifest_path, descriptor_path)
+        writers.write_descriptor({role: (role, f"{role}.jsonl") for role in frames}, f"{stage}/dataset_info.json")
+        exporter.write_file(f"{stage}/manifest.json", fingerprint.as_json(document) + "\n")
+    paths = {role: f"{out}/{role}.jsonl" for role in frames}
+    rows = {role: sum(f.rows for f in files) for role, files in written.items()}
+    return ExportResult(paths, rows, f"{out}/manifest.json", f"{out}/dataset_info.json")
 
 
 def export_training_sets(
@@ -108,7 +114,7 @@ def export_training_sets(
         ),
     }
     raws = {"sft": sft_raw, "dpo": prefs_raw}
-    return _finish_export(spark, out, raws, frames, recipe, allow_empty, ordered, git_commit, overwrite)
+    return export_frames(spark, out, raws, frames, recipe, allow_empty, ordered, git_commit, overwrite)
 
 
 def export_raw_text(
@@ -127,7 +133,7 @@ def export_raw_text(
     """Raw-text export for continued pretraining. An empty result is always an error here."""
     recipe = Recipe(recipe_id, min_chars, max_chars or export.NO_UPPER_BOUND, sources={"cpt": source})
     frames = {"cpt": export.cpt_corpus(raw, min_chars, max_chars, max_docs)}
-    return _finish_export(spark, out, {"cpt": raw}, frames, recipe, False, ordered, None, overwrite)
+    return export_frames(spark, out, {"cpt": raw}, frames, recipe, False, ordered, None, overwrite)
 
 
 def quality_report(spark: SparkSession, sft_path: str, dpo_path: str) -> DataFrame:

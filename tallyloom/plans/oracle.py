@@ -330,6 +330,16 @@ ORACLE: dict[str, str] = {
         ]
     ),
     "content_digests": f"{_ALL}, {_DIGESTS} SELECT * FROM digests",
+    "manifest_files": f"""{_ALL}, {_DIGESTS}, {_ACCOUNTING}
+        SELECT role AS name, digest, exported_rows AS rows, 0::BIGINT AS files_that_differ FROM accounting JOIN digests USING (role)""",
+    "export_descriptor": f"""{_ALL}, {_ACCOUNTING},
+        fixed(name, formatting, ranking, roles) AS (VALUES
+          ('sft', 'alpaca', CAST(NULL AS BOOLEAN), [['prompt', 'instruction'], ['query', 'input'], ['response', 'output']]),
+          ('dpo', 'alpaca', true, [['prompt', 'instruction'], ['query', 'input'], ['chosen', 'chosen'], ['rejected', 'rejected']]),
+          ('cpt', NULL, NULL, [['prompt', 'text']])),
+        each AS (SELECT name, formatting, ranking, unnest(roles) AS r FROM fixed)
+        SELECT e.name, e.name || '.jsonl' AS file, formatting, ranking, r[1] AS role, r[2] AS "column", exported_rows AS rows
+        FROM each e JOIN accounting a ON a.role = e.name""",
     "export_manifest": f"""{_ALL}, {_ACCOUNTING}, {_DIGESTS}
         SELECT 'tables' AS recipe_id, CAST(1 AS INTEGER) AS schema_version, role, raw_rows, exported_rows, digest
         FROM accounting JOIN digests USING (role)""",

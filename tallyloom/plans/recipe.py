@@ -11,11 +11,13 @@ from tallyloom.operators.export import NO_UPPER_BOUND
 
 @dataclass(frozen=True)
 class Source:
-    """Where a role's rows come from; recorded in the manifest."""
+    """Where a role's rows come from; recorded in the manifest. ``revision`` is the one asked for, ``resolved`` the one found."""
 
     location: str = ""
     split: str = "train"
     revision: str | None = None
+    resolved: str | None = None
+    config: str | None = None
 
 
 @dataclass(frozen=True)
@@ -27,6 +29,7 @@ class Recipe:
     max_dpo_rows: int | None = None
     policy_version: str = "v1"
     sources: Mapping[str, Source] = field(default_factory=dict)
+    path: str | None = None
 
     def __post_init__(self) -> None:
         if not isinstance(self.recipe_id, str) or not self.recipe_id:
@@ -38,8 +41,8 @@ class Recipe:
                 raise ValueError("a row cap must not be negative")
 
     @classmethod
-    def from_mapping(cls, recipe: Mapping[str, Any]) -> Recipe:
-        """A recipe from a parsed configuration mapping with ``schema_version: 1``."""
+    def from_mapping(cls, recipe: Mapping[str, Any], path: str | None = None) -> Recipe:
+        """A recipe from a parsed configuration mapping with ``schema_version: 1``; ``path`` says where it was read."""
         if not isinstance(recipe, Mapping):
             raise ValueError("a recipe must be a mapping")
         if recipe.get("schema_version") != 1:
@@ -55,8 +58,8 @@ class Recipe:
         def source(entry: Mapping[str, Any] | None) -> Source:
             entry = entry or {}
             location = entry.get("location") or entry.get("hf_path") or ""
-            revision = entry.get("revision")
-            return Source(str(location), str(entry.get("split", "train")), None if revision in (None, "") else str(revision))
+            revision, resolved, config = (None if entry.get(k) in (None, "") else str(entry[k]) for k in ("revision", "revision_resolved", "config"))
+            return Source(str(location), str(entry.get("split", "train")), revision, resolved, config)
 
         return cls(
             recipe_id=recipe.get("recipe_id"),
@@ -66,4 +69,5 @@ class Recipe:
             max_dpo_rows=cap("max_dpo_rows"),
             policy_version=str(recipe.get("filter_policy_version", "v1")),
             sources={role: source(sources[role]) for role in ("sft", "dpo")},
+            path=path,
         )

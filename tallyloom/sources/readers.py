@@ -48,8 +48,10 @@ def read_preferences(spark: SparkSession, path: str | list[str], fmt: str = "jso
     return spark.read.format(fmt).load(path).select("pos", "prompt", "chosen", "rejected")
 
 
-def read_texts(spark: SparkSession, path: str | list[str], fmt: str = "json") -> DataFrame:
-    """Raw text documents."""
+def read_texts(spark: SparkSession, path: str | list[str], fmt: str = "json", config: str | None = None) -> DataFrame:
+    """Raw text documents; a source with named configurations keeps each in a folder of its name."""
+    if config is not None:
+        path = f"{path}/{config}" if isinstance(path, str) else [f"{p}/{config}" for p in path]
     return _read(spark, path, TEXT_SOURCE, fmt)
 
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.sources import exporter
+
 # How the roles of an export map to its columns.
 _INSTRUCTION_ROLES = {"prompt": "instruction", "query": "input"}
 DESCRIPTORS = {
@@ -46,21 +50,18 @@ def export_descriptor(spark: SparkSession, exports: dict[str, tuple[str, str]])
     )
 
 
-def write_descriptor(
-    spark: SparkSession, exports: dict[str, tuple[str, str]], path: str, mode: str = "errorifexists"
-) -> None:
-    """The descriptor as the JSON mapping trainers read: one entry per export, absent fields left out."""
-    entries = []
+def write_descriptor(exports: dict[str, tuple[str, str]], path: str, mode: str = "errorifexists") -> None:
+    """The descriptor as the JSON file trainers open: one entry per export, absent fields left out."""
+    entries = {}
     for name, (kind, file) in exports.items():
         formatting, ranking, columns = DESCRIPTORS[kind]
-        fields = {"file_name": F.lit(file)}
+        entries[name] = {"file_name": file}
         if formatting:
-            fields["formatting"] = F.lit(formatting)
+            entries[name]["formatting"] = formatting
         if ranking:
-            fields["ranking"] = F.lit(True)
-        fields["columns"] = F.struct(*[F.lit(column).alias(role) for role, column in columns.items()])
-        entries.append(F.struct(*[value.alias(field) for field, value in fields.items()]).alias(name))
-    write_document(spark.range(1).select(*entries), path, mode)
+            entries[name]["ranking"] = True
+        entries[name]["columns"] = columns
+    exporter.write_file(path, json.dumps(entries, ensure_ascii=False) + "\n", mode)
 
 
 def write_document(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

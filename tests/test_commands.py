@@ -7,8 +7,9 @@ import pytest
 from tallyloom.__main__ import main
 
 
-def lines(folder):
-    return [json.loads(x) for p in sorted(folder.glob("part-*")) for x in p.read_text(encoding="utf-8").splitlines()]
+def lines(path):
+    parts = [path] if path.is_file() else sorted(path.glob("part-*"))
+    return [json.loads(x) for p in parts for x in p.read_text(encoding="utf-8").splitlines()]
 
 
 def jsonl(path, rows):

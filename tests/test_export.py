@@ -259,8 +259,7 @@ def test_export_job(spark, tmp_path):
     p = prefs(spark, [(1, "p", said("c"), said("r")), (2, "p", said("c"), said("c"))])
     done = jobs.export_training_sets(spark, s, p, recipe, str(tmp_path / "out"), git_commit="abc")
     assert done.rows == {"sft": 1, "dpo": 1}
-    text = next((tmp_path / "out" / "manifest.json").glob("part-*")).read_text()
-    manifest = json.loads(text)
+    manifest = json.loads((tmp_path / "out" / "manifest.json").read_text())
     assert manifest["recipe_id"] == "r1" and manifest["filters"] == {"min_chars": 2, "max_chars": 100}
     assert manifest["environment"]["git_commit"] == "abc"
     assert {x["role"]: (x["raw_rows"], x["exported_rows"]) for x in manifest["sources"]} == {"sft": (3, 1), "dpo": (2, 1)}
