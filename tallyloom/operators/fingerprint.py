@@ -50,13 +50,6 @@ def file_hashes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def export_fingerprint(spark: SparkSession, path: str, schema, cols: list[str]) -> DataFrame:
-    """``(rows, digest, bytes, files)`` of a written export, read back from its files."""
-    written = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    hashes = file_hashes(spark, path).agg(F.struct(F.sum("bytes").alias("bytes"), F.count("*").alias("files")))
-    return content_digest(written, cols).withColumn("f", hashes.scalar()).select("rows", "digest", "f.*")
-
-
 def environment(git_commit: str | None = None) -> Column:
     return F.struct(
         F.lit(platform.python_version()).alias("python"),
