@@ -32,10 +32,9 @@ def load_recipe(path: str) -> Recipe:
 
 
 def _source(spark: SparkSession, read, path: str, args) -> DataFrame:
-    if args.order == "file":
+    if args.order == "file" or args.order == "scan" and args.format != "json":
         return readers.read_in_file_order(spark, path)
-    rows = read(spark, path, args.format)
-    return readers.with_scan_order(rows.drop("pos")) if args.order == "scan" else rows
+    return read(spark, path, args.format, order="lines" if args.order == "scan" else "field")
 
 
 def _export(spark: SparkSession, args) -> None:

@@ -15,7 +15,7 @@ from tallyloom.plans import bindings as B
 from tallyloom.plans import jobs
 from tallyloom.plans.recipe import Recipe
 from tallyloom.session import materialize, scratch_path
-from tallyloom.sources import evaljson, readers, writers
+from tallyloom.sources import evaljson, lines, readers, writers
 
 SFT_MIN, SFT_MAX = 200, 1500
 DPO_MIN, DPO_MAX = 300, 3000
@@ -180,6 +180,15 @@ def _as_json_lines(spark: SparkSession, rows: DataFrame, name: str) -> str:
     return path
 
 
+@query
+def sft_from_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """A capped export of JSON lines without a position field, written in order and read in small ranges."""
+    path = scratch_path(spark, "sft-lines")
+    writers.write_jsonl(B.sft_raw(spark, folder), path, max_rows_per_file=200)
+    raw = lines.read_json_lines(spark, path, readers.SFT_SOURCE, split_bytes=1 << 20)
+    return export.sft_examples(raw, SFT_MIN, SFT_MAX, SFT_CAP).drop("pos")
+
+
 @query
 def sft_from_files(spark: SparkSession, folder: str) -> DataFrame:
     path = _as_json_lines(spark, B.sft_raw(spark, folder), "sft-source")

@@ -244,6 +244,7 @@ _STRICT_ROWS = f"WITH {_EVAL} SELECT run, task, metric, round(value, 6) AS value
 ORACLE: dict[str, str] = {
     "sft_examples": f"{_ALL} SELECT * FROM sft",
     "sft_first_rows": f"{_ALL} SELECT * FROM sft ORDER BY pos LIMIT {C.SFT_CAP}",
+    "sft_from_lines": f"{_ALL} SELECT instruction, input, output FROM sft ORDER BY pos LIMIT {C.SFT_CAP}",
     "dpo_pairs": f"{_ALL} SELECT * FROM dpo",
     "dpo_first_rows": f"{_ALL} SELECT * FROM dpo ORDER BY pos LIMIT {C.DPO_CAP}",
     "cpt_corpus": f"{_ALL} SELECT * FROM cpt",

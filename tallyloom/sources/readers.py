@@ -1,7 +1,8 @@
 """Readers with fixed schemas.
 
 Row order matters to a capped export, and Spark rows have none, so every source carries a BIGINT ``pos``. Take it from
-the data where there is one; ``read_in_file_order`` makes one from Parquet row numbers.
+the data where there is one (``order="field"``). JSON lines without one are numbered by file and byte offset (``order="lines"``),
+Parquet rows by file and row number (``read_in_file_order``).
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.sources import lines
+
 # The source and export schemas.
 SFT_SOURCE = "pos BIGINT, instruction STRING, input STRING, output STRING"
 PREFERENCE_SOURCE = "pos BIGINT, prompt STRING, chosen VARIANT, rejected VARIANT"
@@ -29,30 +32,34 @@ _FILES_PER_SCAN = 20_000
 _SPREAD = 32
 
 
-def _read(spark: SparkSession, path: str | list[str], schema: str, fmt: str) -> DataFrame:
+def _read(spark: SparkSession, path: str | list[str], schema: str, fmt: str, order: str = "field") -> DataFrame:
+    if order == "lines":
+        if fmt != "json":
+            raise ValueError("only JSON lines are numbered by line")
+        return lines.read_json_lines(spark, path, schema)
     reader = spark.read.schema(schema)
     if fmt == "json":
         reader = reader.option("mode", "FAILFAST")
     return reader.format(fmt).load(path)
 
 
-def read_sft(spark: SparkSession, path: str | list[str], fmt: str = "json") -> DataFrame:
+def read_sft(spark: SparkSession, path: str | list[str], fmt: str = "json", order: str = "field") -> DataFrame:
     """Instruction examples."""
-    return _read(spark, path, SFT_SOURCE, fmt)
+    return _read(spark, path, SFT_SOURCE, fmt, order)
 
 
-def read_preferences(spark: SparkSession, path: str | list[str], fmt: str = "json") -> DataFrame:
+def read_preferences(spark: SparkSession, path: str | list[str], fmt: str = "json", order: str = "field") -> DataFrame:
     """Preference rows. In JSON the message lists are read as VARIANT, so content may be text or a list of chunks."""
     if fmt == "json":
-        return _read(spark, path, PREFERENCE_SOURCE, fmt)
+        return _read(spark, path, PREFERENCE_SOURCE, fmt, order)
     return spark.read.format(fmt).load(path).select("pos", "prompt", "chosen", "rejected")
 
 
-def read_texts(spark: SparkSession, path: str | list[str], fmt: str = "json", config: str | None = None) -> DataFrame:
+def read_texts(spark: SparkSession, path: str | list[str], fmt: str = "json", config: str | None = None, order: str = "field") -> DataFrame:
     """Raw text documents; a source with named configurations keeps each in a folder of its name."""
     if config is not None:
         path = f"{path}/{config}" if isinstance(path, str) else [f"{p}/{config}" for p in path]
-    return _read(spark, path, TEXT_SOURCE, fmt)
+    return _read(spark, path, TEXT_SOURCE, fmt, order)
 
 
 def read_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -78,15 +85,6 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(min(cores, _SPREAD * partitions)) if 0 < partitions < cores else scan
 
 
-def with_scan_order(scan: DataFrame, name: str = "pos") -> DataFrame:
-    """A position for line-based sources without one: the order in which the scan visits its files and lines.
-
-    It must be added to the scan itself. It is the same on every run over the same files, but files of different size
-    are not visited in name order; a source whose order matters across files should carry a position.
-    """
-    return scan.withColumn(name, F.monotonically_increasing_id())
-
-
 def read_in_file_order(spark: SparkSession, path: str | list[str], schema=None, name: str = "pos") -> DataFrame:
     """A Parquet source with a position: file by file in path order, row by row within a file.
 
