@@ -14,23 +14,34 @@ from tallyloom.session import materialize
 _BIN_BITS = 12
 
 
+def _required(rows: DataFrame, name: str) -> Column:
+    """The column, with an error in place of its NULLs: such a row would silently leave the result."""
+    return F.coalesce(F.col(name), F.raise_error(F.lit(f"a row has no {name}")).cast(rows.schema[name].dataType))
+
+
 def deduplicate(rows: DataFrame, key: Column, pos: str = "pos") -> DataFrame:
-    """Of all rows with one key, the one at the lowest position. ``pos`` is unique.
+    """Of all rows with one key (NULL is a key like any other), the one at the lowest position.
 
-    Positions alone are reduced per key, inside the tasks first, so a copy group of any size is one row per task; the rows
-    are then picked by position.
+    Positions alone are counted per key, inside the tasks first, so a copy group of any size is one row per task and
+    position; the rows are then picked by key and position. A row without a position, and two rows of one key that share
+    the lowest position, are errors.
     """
-    least = rows.select(F.col(pos), key.alias("_key")).groupBy("_key").agg(F.min(pos).alias(pos)).select(pos)
-    return rows.join(least, pos, "left_semi")
+    places = rows.select(_required(rows, pos).alias("_pos"), key.alias("_key")).groupBy("_key", "_pos").agg(F.count("*").alias("_rows"))
+    least = places.groupBy("_key").agg(F.min(F.struct("_pos", "_rows")).alias("_least"))
+    shared = F.raise_error(F.concat(F.lit(f"rows of one key share {pos} "), F.col("_least._pos").cast("string"))).cast(rows.schema[pos].dataType)
+    least = least.select(F.col("_key").alias("_of"), F.when(F.col("_least._rows") > 1, shared).otherwise(F.col("_least._pos")).alias("_at"))
+    keyed = rows.withColumn("_key", key)
+    return keyed.join(least, (F.col(pos) == F.col("_at")) & F.col("_key").eqNullSafe(F.col("_of")), "left_semi").drop("_key")
 
 
 def balance(rows: DataFrame, group: str, key: str, quota: int, seed: int = 0) -> DataFrame:
-    """At most ``quota`` rows of each group, the first in a seeded hash order of ``key``.
+    """At most ``quota`` rows of each group, the first in a seeded hash order of ``key``. A NULL group is a group of its own;
+    a row without a key is an error.
 
     Rows are counted per group and hash bin; bins below the quota are taken whole, and only the bin in which it falls
     is put in order, so a group is never gathered.
     """
-    ranked = rows.withColumn("_rank", seeded_rank(F.col(key), seed))
+    ranked = rows.withColumn("_rank", seeded_rank(_required(rows, key), seed))
     binned = ranked.withColumn("_bin", F.shiftright("_rank", 60 - _BIN_BITS))
     running = W.Window.partitionBy(group).orderBy("_bin")  # at most 4,096 lines a group
     bins = binned.groupBy(group, "_bin").agg(F.count("*").alias("_rows"))

@@ -1,5 +1,7 @@
 """Deduplication, balancing, stable fractions, arms and seeds against plain Python."""
 
+import pytest
+
 from tallyloom.operators import curate, evalruns, selection
 from pyspark.sql import functions as F
 
@@ -9,6 +11,22 @@ def test_deduplicate_keeps_the_lowest_position(spark):
     assert sorted(r.pos for r in curate.deduplicate(rows, F.col("k")).collect()) == [1, 2, 4]
 
 
+def test_deduplicate_goes_by_key_and_position(spark):
+    rows = spark.createDataFrame([(1, "a"), (0, "b"), (1, "b"), (2, "a")], "pos long, k string")
+    assert sorted((r.pos, r.k) for r in curate.deduplicate(rows, F.col("k")).collect()) == [(0, "b"), (1, "a")]
+
+
+@pytest.mark.parametrize("rows", [[(1, "a"), (1, "a")], [(1, "a"), (None, "a")]])
+def test_deduplicate_without_an_order_is_an_error(spark, rows):
+    with pytest.raises(Exception, match="share pos 1|a row has no pos"):
+        curate.deduplicate(spark.createDataFrame(rows, "pos long, k string"), F.col("k")).collect()
+
+
+def test_balance_needs_keys(spark):
+    with pytest.raises(Exception, match="a row has no id"):
+        curate.balance(spark.createDataFrame([(1, "g"), (None, "g")], "id long, g string"), "g", "id", 5).collect()
+
+
 def test_balance_takes_the_first_of_each_group(spark):
     rows = spark.range(5000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, "rare").alias("g"))
     ranks = {r.id: (r.r, r.id, r.g) for r in rows.select("id", "g", selection.seeded_rank(F.col("id"), 4).alias("r")).collect()}
