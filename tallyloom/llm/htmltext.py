@@ -28,9 +28,10 @@ TRAINING_PAGES = 500
 TREES, DEPTH, STEP_SIZE = 14, 5, 0.4
 BATCH_CHARS = 4_000_000
 
-# Elements without content, with raw content, and inline elements of HTML.
+# Elements without content, with raw content, of other vocabularies, and inline elements of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style template svg math noframes xmp head title textarea object".split())
+FOREIGN = frozenset("svg math".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split()
@@ -55,9 +56,9 @@ TOKENS = {
 INHERITED = ("main", "nav", "header", "footer", "aside", "form", "list", "table")
 _TAG_GROUP = {t: i for i, ts in enumerate(GROUPS.values()) for t in ts.split()}
 _TOKEN_GROUP = {t: i for i, ts in enumerate(TOKENS.values()) for t in ts.split()}
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
-)
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z])", re.S)
+_NAME_END = re.compile(r"[\s/>]")
+_SPECIAL = re.compile("[>\"']")
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 
@@ -79,10 +80,61 @@ class Node:
         self.first, self.place = 0, 0
 
 
+class _Tags:
+    """Where the tags of a page end, in time linear in the page however broken it is.
+
+    A ``>`` inside quotes does not end a tag. Where a quote is never closed, the next ``>`` ends it; without one it is no tag.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.special: re.Match | None = None  # the last mark found: the first at or after ``self.since``
+        self.since = -1
+        self.dead: set[int] = set()  # opening quotes from which no end is reached
+        self.raw: dict[str, tuple[int, int]] = {}
+
+    def _mark(self, at: int) -> re.Match | None:
+        if self.since < 0 or not (self.since <= at and (self.special is None or at <= self.special.start())):
+            self.special, self.since = _SPECIAL.search(self.page, at), at
+        return self.special
+
+    def end(self, at: int) -> int | None:
+        """The place of the ``>`` that ends a tag whose attributes start at ``at``."""
+        if at > self.last:
+            return None
+        first, opened = at, []
+        while (m := self._mark(at)) and m[0] != ">":
+            quote = m.start()
+            close = -1 if quote in self.dead else self.page.find(m[0], quote + 1)
+            opened.append(quote)
+            if close < 0:
+                break
+            at = close + 1
+        else:
+            if m:
+                return m.start()
+        self.dead.update(opened)
+        return self.page.find(">", first)
+
+    def raw_end(self, tag: str, at: int) -> tuple[int, int] | None:
+        """Start and end of the next closing tag of a raw element."""
+        beyond = len(self.page) + 1
+        found = self.raw.get(tag, (-1, -1))
+        if found[0] < at:
+            m = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(self.page, at)
+            found = self.raw[tag] = m.span() if m else (beyond, beyond)
+        return None if found[0] == beyond else found
+
+
 def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
-    """The block tree, and the text blocks in page order, each with its node. Scripts, styles and comments are gone."""
+    """The block tree, and the text blocks in page order, each with its node. Scripts, styles and comments are gone.
+
+    As in HTML, a slash before ``>`` closes only void and foreign elements; a raw element with one that is never closed is empty.
+    """
     root = node = Node("#document", None, "")
     open_tags: list[tuple[str, Node | None]] = []  # inline ones have no node
+    places: dict[str, list[int]] = {}  # of each tag's open elements
+    tags = _Tags(page)
     blocks: list[tuple[Node, str]] = []
     pending: list[str] = []
     link_depth = 0
@@ -105,6 +157,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
         """Close the open elements from place ``k`` on."""
         nonlocal node, link_depth
         for tag, own in reversed(open_tags[k:]):
+            places[tag].pop()
             if own is not None:
                 flush()
                 node = own.parent
@@ -112,13 +165,18 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
                 link_depth = max(0, link_depth - 1)
         del open_tags[k:]
 
-    def innermost(tags: frozenset | set, stop: frozenset | set) -> int | None:
-        for k in range(len(open_tags) - 1, -1, -1):
-            if open_tags[k][0] in tags:
-                return k
-            if open_tags[k][0] in stop:
-                return None
-        return None
+    def opened(tag: str, own: Node | None) -> None:
+        places.setdefault(tag, []).append(len(open_tags))
+        open_tags.append((tag, own))
+
+    def innermost(wanted: frozenset | set, stop: frozenset | set) -> int | None:
+        """Place of the innermost open element of ``wanted``, unless one of ``stop`` is open inside it."""
+
+        def last(names: frozenset | set) -> int:
+            return max((places[t][-1] for t in names if places.get(t)), default=-1)
+
+        k = last(wanted)
+        return k if k > last(stop) else None
 
     at = 0
     size = len(page)
@@ -137,16 +195,27 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
             continue
         if m[2] is None:
             continue
-        tag = m[2].lower()
+        end = None
+        if at <= tags.last:
+            named = _NAME_END.search(page, at).start()
+            end = tags.end(named)
+        if end is None:  # no tag
+            pending.append(m[0])
+            if link_depth:
+                linked += len(m[0])
+            continue
+        attrs, tag, at = page[named:end], page[m.start(2) : named].lower(), end + 1
         if m[1]:
             k = innermost({tag}, frozenset())
             if k is not None:
                 close(k)
             continue
         if tag in RAW:
-            if not m[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = end.end() if end else size
+            end = tags.raw_end(tag, at)
+            if not attrs.endswith("/"):
+                at = end[1] if end else size
+            elif tag not in FOREIGN and end:
+                at = end[1]
             continue
         if tag in VOID:
             if tag == "br":
@@ -164,19 +233,16 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
             close(k)
         if tag == "option" and (k := innermost({"option"}, {"select"})) is not None:
             close(k)
-        if m[3].endswith("/") and tag not in INLINE:
-            flush()
-            continue
         if tag in INLINE:
-            open_tags.append((tag, None))
+            opened(tag, None)
             link_depth += tag == "a"
             continue
         flush()
-        child = Node(tag, node, m[3])
+        child = Node(tag, node, attrs)
         child.place = len(node.children)
         child.first = len(blocks)
         node.children.append(child)
-        open_tags.append((tag, child))
+        opened(tag, child)
         node = child
     flush()
     return root, blocks

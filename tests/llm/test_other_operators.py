@@ -2,8 +2,10 @@
 
 import hashlib
 import html
+import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -191,3 +193,52 @@ def test_perspectives(spark, monkeypatch):
     monkeypatch.setattr(chat, "TURNS", 64)
     assert "".join(b for _, b in blocks) == next(r.rendered for r in chat.perspectives(long).collect() if r.speaker == "a")
     assert chat.perspectives(long.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page", ["<a ", "<a", "<a \"", "<a \"x\" '", "</b", "<script/>", "<b>", "<p><button><b><div>", "<!-", "<x class=\"", "<i></b>", "</script", "<div a='>"]
+)
+@pytest.mark.parametrize("end", ["", ">", "\">"])
+def test_broken_pages_are_parsed_in_linear_time(page, end):
+    begun = time.perf_counter()
+    htmltext.parse("<p>one" + page * (1_000_000 // len(page)) + end)
+    assert time.perf_counter() - begun < 20
+
+
+def test_slashes_close_void_and_foreign_elements_alone():
+    def blocks(page):
+        return [(n.tag, t) for n, t in htmltext.parse(page)[1]]
+
+    assert blocks("a<script src='x.js'/>var leak=1;</script>b") == [("#document", "ab")]
+    assert blocks("a<style/>p {}</STYLE >b<svg/>c<svg>d</svg>e<br/>f") == [("#document", "abce f")]
+    assert blocks("<div class='ad'/>buy now</div>x") == [("div", "buy now"), ("#document", "x")]
+    assert blocks("a<object data=x/>b") == [("#document", "ab")] and blocks("a<script>b") == [("#document", "a")]
+
+
+def test_quotes_in_tags():
+    def blocks(page):
+        return [t for _, t in htmltext.parse(page)[1]]
+
+    assert blocks("<p title='a>b'>x</p><p title=\"it's>\">y</p>") == ["x", "y"]
+    assert blocks("<p don't>x</p><p>y</p>") == ["x", "y"] and blocks("a <b") == ["a <b"]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_decoding_against_all_labellings_of_small_trees(seed):
+    rng = np.random.default_rng(seed)
+    page, depth = "", 0
+    for _ in range(int(rng.integers(1, 9))):
+        page, depth = (page + "<div>t", depth + 1) if depth == 0 or rng.random() < 0.6 else (page + "</div>", depth - 1)
+    nodes, _ = htmltext.features(htmltext.parse(page)[0])
+    logits = rng.normal(size=len(nodes)) * 2
+    number = {id(n): i for i, n in enumerate(nodes)}
+    up = [number[id(n.parent)] if n.parent is not None else None for n in nodes]
+    yes, no = -np.logaddexp(0, -logits), -np.logaddexp(0, logits)
+
+    def score(kept):  # a node under a dropped one is dropped for certain
+        if any(k and up[i] is not None and not kept[up[i]] for i, k in enumerate(kept)):
+            return -np.inf
+        return sum(yes[i] if k else no[i] for i, k in enumerate(kept) if up[i] is None or kept[up[i]])
+
+    best = max(map(score, itertools.product((False, True), repeat=len(nodes))))
+    assert abs(score([bool(k) for k in htmltext.decode(nodes, logits)]) - best) < 1e-9
