@@ -184,7 +184,8 @@ def _selected(like: np.ndarray, count: np.ndarray, starts: np.ndarray, owner: np
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text") -> DataFrame:
     """Adds ``lang_pred`` (``und`` for null texts, texts without a letter, or an empty model), ``score`` (the share of
-    that language, 0 to 1) and ``n_langs`` (size of the selected set) to ``docs``; columns of those names are replaced."""
+    that language, 0 to 1) and ``n_langs`` (size of the selected set) to ``docs``; columns of those names are replaced.
+    Repeated rows get equal values."""
     names, likelihood = model
     added = ["lang_pred", "score", "n_langs"]
     kept = docs.drop(*added)
@@ -205,7 +206,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
                 [*batch.columns, pa.array(lang), pa.array(score), pa.array(size)], [*batch.schema.names, *added]
             )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema)
     return kept.mapInArrow(run, f"{fields}, lang_pred string, score double, n_langs int")
 
 

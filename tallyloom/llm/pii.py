@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone", "iban")
 MARK = "\x01"
 CONTEXT_CHARS = 40
+NEIGHBOURS = 10  # no match is shorter than four characters, so ten of them fill the context
+BLOCK = 128
+REDACTION_BLOCK = 512
 _OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
 
 @dataclass(frozen=True)
 class Kind:
-    """``hint``: what a text must have for the pattern to be tried. ``words`` raise the confidence from ``base``."""
+    """``hint``: what a text must have for the pattern to be tried. ``words``, as whole words, raise the confidence from ``base``."""
 
     pattern: str
     hint: str
@@ -29,36 +32,81 @@ class Kind:
     base: int
 
 
+def _words(*names: str) -> str:
+    return f"(?:^|[^a-z])(?:{'|'.join(names)})(?:[^a-z]|$)"
+
+
 # The patterns of the base kinds, written for the marked text.
 RULES = {
-    "email": Kind(rf"(?:\G|(?<![A-Za-z0-9._%+{MARK}-]))[A-Za-z0-9._%+{MARK}-]++@[A-Za-z0-9-]++{MARK}[A-Za-z0-9{MARK}-]++", "@", "mail|contact|write|address", 80),
-    "ip": Kind(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]", "ip|host|server|address|login", 60),
-    "card": Kind(rf"[0-9][0-9{MARK}]{{12,}}+", "[0-9][ 0-9-]{12}", "card|visa|master|credit|payment|expir", 70),
-    "phone": Kind(r"\+[0-9][ ().0-9-]+[0-9]", r"\+[0-9]", "phone|tel|call|fax|mobile|cell", 60),
-    "iban": Kind(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", "[A-Z]{2}[0-9]{2}", "iban|account|bank|transfer", 80),
+    "email": Kind(rf"(?:\G|(?<![A-Za-z0-9._%+{MARK}-]))[A-Za-z0-9._%+{MARK}-]++@[A-Za-z0-9-]++{MARK}[A-Za-z0-9{MARK}-]++", "@", _words("e-?mails?", "mailto", "mail", "contacts?", "write", "address(?:es)?"), 80),
+    "ip": Kind(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]", _words("ip", "hosts?", "servers?", "address(?:es)?", "logins?"), 60),
+    "card": Kind(rf"[0-9][0-9{MARK}]{{12,}}+", "[0-9][ 0-9-]{12}", _words("cards?", "visa", "mastercard", "master", "credit", "payments?", "expir(?:y|es|ed|ation)"), 70),
+    "phone": Kind(r"\+[0-9][ ().0-9-]+[0-9]", r"\+[0-9]", _words("(?:tele)?phones?", "tel", "call(?:s|ed|ing)?", "fax", "mobile", "cell"), 60),
+    "iban": Kind(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", "[A-Z]{2}[0-9]{2}", _words("iban", "accounts?", "bank", "transfers?"), 80),
 }
 
 
-def _proposed(text: Column, rule: Kind) -> Column:
-    """Matches of the pattern as (start, found), starts counted in code points from 0."""
-    pieces = F.split(text, rule.pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,found:string>>").alias("out"))
-    placed = F.aggregate(
-        F.arrays_zip(pieces.alias("piece"), found.alias("found")),
-        empty,
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["piece"]) + F.coalesce(F.length(x["found"]), F.lit(0))).alias("at"),
-            F.when(
-                x["found"].isNotNull(),
-                F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(x["piece"])).alias("start"), x["found"].alias("found")))),
-            )
-            .otherwise(acc["out"])
-            .alias("out"),
-        ),
-        lambda acc: acc["out"],
+def _bound(value: Column, body) -> Column:
+    """``body`` of a variable that holds ``value``, so that ``value`` is worked out once, not once for each element of an inner array."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _blocks(rows: Column, size: int) -> Column:
+    """An array cut into arrays of ``size``. Growing an array copies it, so long ones are built block by block."""
+    return F.when(F.size(rows) == 0, F.array()).otherwise(
+        F.transform(F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / size).cast("int")), lambda b: F.slice(rows, b * size + 1, F.lit(size)))
     )
-    return F.when(text.rlike(rule.hint), placed).otherwise(F.array().cast("array<struct<start:int,found:string>>"))
+
+
+def _placed(matches: Column) -> Column:
+    """Matches as (i, found, gap before it) get their ``start``: running sums inside blocks, then from block to block."""
+    inner, outer = "array<struct<i:int,start:int,found:string>>", "array<array<struct<i:int,start:int,found:string>>>"
+
+    def one(acc: Column, x: Column) -> Column:
+        start = acc["at"] + x["gap"]
+        row = F.struct(x["i"].alias("i"), start.alias("start"), x["found"].alias("found"))
+        return F.struct((start + F.length(x["found"])).alias("at"), F.concat(acc["out"], F.array(row)).alias("out"))
+
+    def block(acc: Column, rows: Column) -> Column:
+        done = F.aggregate(rows, F.struct(acc["at"].alias("at"), F.array().cast(inner).alias("out")), one)
+        return _bound(done, lambda d: F.struct(d["at"].alias("at"), F.concat(acc["out"], F.array(d["out"])).alias("out")))
+
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast(outer).alias("out"))
+    return _bound(matches, lambda m: F.aggregate(_blocks(m, BLOCK), empty, block, lambda acc: F.flatten(acc["out"])))
+
+
+def _ends(text: Column) -> Column:
+    """A text without its middle: both contexts it can take part in stay."""
+    return F.when(F.length(text) > 2 * CONTEXT_CHARS, F.concat(F.left(text, F.lit(CONTEXT_CHARS)), F.right(text, F.lit(CONTEXT_CHARS)))).otherwise(text)
+
+
+def _proposed(text: Column, rule: Kind, kind: str) -> Column:
+    """Confirmed matches of the pattern as (start, found, around): starts in code points from 0, the characters on both sides.
+
+    Every step is linear in the text but for the copies of blocks: nothing looks for a position from the start of the text.
+    """
+
+    def matched(s: Column) -> Column:
+        rows = F.transform(
+            s["found"], lambda f, i: F.struct(i.alias("i"), f.alias("found"), F.length(F.get(s["pieces"], i)).alias("gap"))
+        )
+        sides = F.transform(s["pieces"], lambda p, i: _ends(F.concat(_ends(p), F.coalesce(_ends(F.get(s["found"], i)), F.lit("")))))
+
+        def with_context(around: Column) -> Column:
+            def row(x: Column) -> Column:
+                low = F.greatest(x["i"] - NEIGHBOURS, F.lit(0))
+                before = F.concat(F.array_join(F.slice(around, low + 1, x["i"] - low), ""), _ends(F.get(s["pieces"], x["i"])))
+                after = F.array_join(F.slice(around, x["i"] + 2, F.lit(NEIGHBOURS)), "")
+                sides = F.concat(F.right(before, F.lit(CONTEXT_CHARS)), F.lit(" "), F.left(after, F.lit(CONTEXT_CHARS)))
+                return F.struct(x["start"].alias("start"), x["found"].alias("found"), sides.alias("around"))
+
+            return F.transform(F.filter(_placed(rows), lambda x: _confirmed(kind, x["found"])), row)
+
+        return _bound(sides, with_context)
+
+    split = F.struct(F.split(text, rule.pattern, -1).alias("pieces"), F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)).alias("found"))
+    empty = F.array().cast("array<struct<start:int,found:string,around:string>>")
+    return F.when(text.rlike(rule.hint), _bound(split, matched)).otherwise(empty)
 
 
 def _digits(found: Column) -> Column:
@@ -120,12 +168,7 @@ def pii_spans(text: Column) -> Column:
             rule = Kind(rule.pattern, rf"[{MARK}0-9@]", rule.words, rule.base)
 
         def described(x: Column) -> Column:
-            around = F.concat(
-                F.substring(text, F.greatest(x["start"] + 1 - CONTEXT_CHARS, F.lit(1)), F.least(x["start"], F.lit(CONTEXT_CHARS))),
-                F.lit(" "),
-                F.substring(text, x["start"] + 1 + F.length(x["found"]), F.lit(CONTEXT_CHARS)),
-            )
-            near = F.lower(around).rlike(rule.words)
+            near = F.lower(x["around"]).rlike(rule.words)
             return F.struct(
                 F.lit(kind).alias("kind"),
                 x["start"].alias("start"),
@@ -133,7 +176,7 @@ def pii_spans(text: Column) -> Column:
                 F.when(near, F.lit(rule.base + 15)).otherwise(F.lit(rule.base)).alias("confidence"),
             )
 
-        return F.transform(F.filter(_proposed(source, rule), lambda x: _confirmed(kind, x["found"])), described)
+        return F.transform(_proposed(source, rule, kind), described)
 
     return F.concat(*[spans(k) for k in KINDS])
 
@@ -149,30 +192,43 @@ def redacted(text: Column, spans: Column) -> Column:
     Null and span-free texts come back as they are.
     """
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    done = F.aggregate(
+    texts = "array<string>"
+
+    def block(acc: Column, rows: Column) -> Column:
+        to = F.greatest(acc["at"], F.array_max(F.transform(rows, lambda s: s["end"])))
+        own = F.struct(to.alias("to"), F.substring(text, acc["at"] + 1, to - acc["at"]).alias("text"))
+
+        def one(own: Column, done: Column, s: Column) -> Column:
+            part = F.substring(own["text"], done["at"] - acc["at"] + 1, s["start"] - done["at"])
+            parts = F.concat(done["parts"], F.array(part, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
+            return F.struct(F.greatest(done["at"], s["end"]).alias("at"), F.when(s["start"] >= done["at"], parts).otherwise(done["parts"]).alias("parts"))
+
+        def replaced(own: Column) -> Column:
+            start = F.struct(acc["at"].alias("at"), F.array().cast(texts).alias("parts"))
+            out = F.aggregate(rows, start, lambda done, s: one(own, done, s), lambda done: F.array_join(done["parts"], ""))
+            return F.struct(own["to"].alias("at"), F.concat(acc["out"], F.array(out)).alias("out"))
+
+        return _bound(own, replaced)
+
+    done = _bound(
         ordered,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(
-                s["start"] >= acc["at"],
-                F.concat(
-                    acc["parts"],
-                    F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))),
-                ),
-            )
-            .otherwise(acc["parts"])
-            .alias("parts"),
+        lambda rows: F.aggregate(
+            _blocks(rows, REDACTION_BLOCK),
+            F.struct(F.lit(0).alias("at"), F.array().cast(texts).alias("out")),
+            block,
+            lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))),
         ),
-        lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.length(text))),
     )
     return F.when(F.size(spans) > 0, done).otherwise(text)
 
 
 def redact_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the personal data in ``text_col`` replaced; every row and column stays."""
-    with_spans = docs.select("*", pii_spans(F.col(text_col)).alias("__pii"))
-    return with_spans.withColumn(text_col, redacted(F.col(text_col), F.col("__pii"))).drop("__pii")
+    """``docs`` with the personal data in ``text_col`` replaced; every row and column stays, repeated rows too."""
+    taken, own = {c.lower() for c in docs.columns}, "__pii"
+    while own in taken:
+        own += "_"
+    with_spans = docs.select("*", pii_spans(F.col(text_col)).alias(own))
+    return with_spans.withColumn(text_col, redacted(F.col(text_col), F.col(own))).drop(own)
 
 
 def span_text(spans: Column) -> Column:

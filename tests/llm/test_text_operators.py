@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -150,6 +151,30 @@ def test_pii_context_and_redaction(docs):
     assert texts == {1: "mail me: é [EMAIL] now", 2: "zzz [PHONE] zzz", 3: None, 4: "clean", 5: "+1; [CARD] x", 6: "+[CARD] x"}
 
 
+def test_pii_of_many_matches_in_one_text(docs):
+    n = 100_000
+    text = "mail " + " ".join(f"a{i}@b{i % 7}.org" + " xyz" * (i % 3) for i in range(n)) + " end"
+    begun = time.perf_counter()
+    found = pii.find_pii(docs([(1, text), (1, text), (2, "x@y.z" * 400)]).select("*", F.lit("kept").alias("__PII")))
+    assert found.filter("doc_id = 1").select(F.size("pii").alias("n"), F.sha2(pii.span_text(F.col("pii")), 256)).distinct().collect()[0].n == n
+    spans = found.filter("doc_id = 1").select("pii").first().pii
+    assert [(s.kind, s.start, s.end) for s in spans] == plain_spans(text) and [s.confidence for s in spans[:2]] == [95, 95]
+    kept = pii.redact_pii(docs([(1, text), (3, None)]).select("*", F.lit("kept").alias("__PII"))).collect()
+    assert kept[0].text == re.sub(r"a\d+@b\d\.org", "[EMAIL]", text) and kept[0]["__PII"] == "kept" and kept[1].text is None
+    assert time.perf_counter() - begun < 120
+
+
+def test_pii_context_is_of_whole_words(docs):
+    rng = random.Random(8)
+    words = ["mail", "email", "hotel", "tel", "trip", "ip", "ship", "a@b.co", "c.d@e.fr", "10.0.0.1", "+1 988 555 2485", "é", "vvvvvvvvvvvvvvvvvv", "host."]
+    rows = [(i, rng.choice(["", " "]).join(rng.choices(words, k=12)) if i % 5 else " ".join(rng.choices(words, k=40))) for i in range(300)]
+    for r in pii.find_pii(docs(rows)).collect():
+        for s in r.pii:
+            around = r.text[max(0, s.start - 40) : s.start] + " " + r.text[s.end : s.end + 40]
+            rule = pii.RULES[s.kind]
+            assert s.confidence == rule.base + 15 * bool(re.search(rule.words, around.lower())), (r.text, s)
+
+
 def test_language_mixture(spark, small, docs):
     table = spark.read.parquet(f"{small}/documents.parquet")
     model = langid.train(table.filter(~langid.held_out()))
@@ -313,6 +338,12 @@ def test_language_mixtures_against_a_plain_estimate(small, n_langs):
         assert all(abs(shares[i] - s) < 1e-3 for i, s in want.items())
 
 
+def test_language_columns_with_odd_names(docs):
+    rows = docs([(1, "the cat sat on the mat", 5), (2, None, 6)], "doc_id long, text string, `a``b.c` int")
+    got = langid.predict(rows, langid.train(rows.withColumn("lang", F.lit("en")))).collect()
+    assert [(r.doc_id, r["a`b.c"], r.lang_pred) for r in got] == [(1, 5, "en"), (2, 6, langid.UNDETERMINED)]
+
+
 def test_language_of_long_texts_in_pieces(monkeypatch):
     text = "Où est-ce que l'été, ΣΑΣ? " * 400 + "the end"
     whole = np.zeros(langid.FEATURES, np.int64)
