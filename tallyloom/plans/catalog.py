@@ -289,6 +289,15 @@ def dpo_quality(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(quality.findings_long(quality.dpo_report(dpo_pairs(spark, folder)), "dpo"), "value")
 
 
+@query
+def part_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Every source and all of them, from stored histograms: the documents are read once, part by part."""
+    path = scratch_path(spark, "cells")
+    quality.store_cells(quality.text_cells(B.table(spark, folder, "documents"), part=F.col("source")), path)
+    reports = quality.union_reports(quality.stored_cells(spark, path), F.array("part", F.lit("all")), quality.text_findings())
+    return rounded(quality.findings_long(reports, F.col("of")), "value")
+
+
 @query
 def content_digests(spark: SparkSession, folder: str) -> DataFrame:
     parts = [

@@ -279,6 +279,14 @@ ORACLE: dict[str, str] = {
         l AS (SELECT arm, unnest(['rows', 'p50', 'p90', 'p95', 'p99', 'mean']) AS metric, unnest([v.rows, v.p50, v.p90, v.p95, v.p99, v.mean]) AS value FROM s)
         SELECT x.metric, round(x.value, 6) AS before, round(y.value, 6) AS after, round(y.value - x.value, 6) AS delta
         FROM l x JOIN l y ON x.metric = y.metric AND x.arm = 'before' AND y.arm = 'after'""",
+    "part_quality": f"""WITH d AS (SELECT source, length(coalesce(text, '')) AS n, {_normalised("coalesce(text, '')")} AS k FROM documents),
+        u AS (SELECT source AS dataset, n, k FROM d UNION ALL SELECT 'all', n, k FROM d),
+        s AS (SELECT dataset, count(*)::DOUBLE AS r, count(DISTINCT k)::DOUBLE AS q, quantile_cont(n, [0.5, 0.9, 0.95, 0.99]) AS p, avg(n) AS m FROM u GROUP BY dataset),
+        l AS (SELECT dataset,
+          unnest(['rows', '{Q.TEXT_LENGTH}', '{Q.TEXT_LENGTH}', '{Q.TEXT_LENGTH}', '{Q.TEXT_LENGTH}', '{Q.TEXT_LENGTH}', '{Q.DUPLICATE_FRACTION}', '{Q.UNIQUE_KEYS}']) AS metric,
+          unnest(['value', 'p50', 'p90', 'p95', 'p99', 'mean', 'value', 'value']) AS stat,
+          unnest([r, p[1], p[2], p[3], p[4], m, 1 - q / r, q]) AS value FROM s)
+        SELECT dataset, metric, stat, round(value, 6) AS value FROM l""",
     "seed_spread": """WITH p AS (SELECT lang, doc_id % 3 AS s, source, avg(n_chars) AS v FROM documents GROUP BY ALL)
         SELECT lang AS id, source AS task, count(*) AS n_seeds, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS spread
         FROM p GROUP BY lang, source""",

@@ -121,3 +121,40 @@ def test_file_hashes(spark, tmp_path):
     row = fingerprint.file_hashes(spark, str(tmp_path / "out")).first()
     raw = next((tmp_path / "out").glob("part-*")).read_bytes()
     assert (row.sha256, row.bytes, row.rows) == (hashlib.sha256(raw).hexdigest(), len(raw), 2)
+
+
+def parted(spark):
+    rows = [(p, "i", None, "x " * (i % 9) + str(i % 5)) for i, p in enumerate(["a", "b", None, "", "c/d=e"] * 40)]
+    return spark.createDataFrame([*rows, ("f", "i", "", None)], "p STRING, instruction STRING, input STRING, output STRING")
+
+
+def test_stored_parts_add_up_to_the_report_of_their_rows(spark, tmp_path):
+    rows = parted(spark)
+    quality.store_cells(quality.sft_cells(rows, F.col("p")), f"{tmp_path}/cells")
+    unions = {"all": ["a", "b", None, "", "c/d=e", "f"], "two": [None, "c/d=e"], "odd": ["", "f", "a"], "f": ["f"]}
+    names = F.filter(F.array(*[F.when(F.array_contains(F.array(*map(F.lit, ps)), F.coalesce("part", F.lit("?"))) if None not in ps
+                     else F.col("part").isNull() | F.col("part").isin([p for p in ps if p is not None]), F.lit(n)) for n, ps in unions.items()]), lambda x: x.isNotNull())
+    got = {r.of: r.asDict(True) for r in quality.union_reports(quality.stored_cells(spark, f"{tmp_path}/cells"), names, quality.sft_findings()).collect()}
+    assert set(got) == set(unions)
+    for name, parts in unions.items():
+        own = rows.filter(F.col("p").isin([p for p in parts if p is not None]) | (F.col("p").isNull() & F.lit(None in parts)))
+        want = quality.sft_report(own).first().asDict(True)
+        got[name].pop("of")
+        assert got[name].pop(quality.TRIGRAM_MEAN) == pytest.approx(want.pop(quality.TRIGRAM_MEAN))
+        assert got[name] == want
+
+
+def test_a_part_stored_again_is_replaced_and_others_stay(spark, tmp_path):
+    path, rows = f"{tmp_path}/cells", parted(spark)
+    quality.store_cells(quality.sft_cells(rows, F.col("p")), path)
+    quality.store_cells(quality.sft_cells(rows.filter("p = 'a'").limit(3), F.col("p")), path)
+    reports = quality.union_reports(quality.stored_cells(spark, path), F.array("part"), quality.sft_findings()).collect()
+    assert {r.of: r.rows for r in reports} == {"a": 3, "b": 40, None: 40, "": 40, "c/d=e": 40, "f": 1}
+    only = quality.stored_cells(spark, path, ["b", None])
+    assert {r.part for r in only.select("part").distinct().collect()} == {"b", None}
+    assert len(only.inputFiles()) and "PartitionFilters: [folder" in only._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_parts_of_nothing(spark, tmp_path):
+    quality.store_cells(quality.text_cells(texts(spark, []), "s", F.lit("x")), f"{tmp_path}/cells")
+    assert quality.union_reports(quality.stored_cells(spark, f"{tmp_path}/cells"), F.array("part"), quality.text_findings()).count() == 0
