@@ -287,7 +287,8 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _block_links(cand: DataFrame) -> DataFrame:
-    """Links found inside blocks: two min-hash blocks per document."""
+    """Links found inside blocks: two min-hash blocks per document. A large block is cut into chunks, for each seed in another
+    way: documents of one template share both blocks, and what one cut separates meets in the other."""
 
     def least(seed: int):
         hashed = F.transform("prefix", lambda t: F.struct(F.xxhash64(t, F.lit(seed)).alias("h"), t.alias("t")))
@@ -296,7 +297,7 @@ def _block_links(cand: DataFrame) -> DataFrame:
     keys = cand.select("doc_id", F.posexplode(F.array(least(1), least(2))).alias("seed", "block"))
     sizes = keys.groupBy("seed", "block").agg(F.count("*").alias("size")).filter("size > 1")
     placed = keys.join(sizes, ["seed", "block"]).select(
-        "seed", "block", "doc_id", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / CHUNK)).alias("chunk")
+        "seed", "block", "doc_id", F.pmod(F.xxhash64("doc_id", "seed"), F.ceil(F.col("size") / CHUNK)).alias("chunk")
     )
     members = placed.join(cand.select("doc_id", "n", "toks"), "doc_id")
     return members.groupBy("seed", "block", "chunk").applyInArrow(_links_within, "a long, b long")

@@ -49,6 +49,19 @@ def test_ngram_join_splits_large_blocks(docs, helpers, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("n", [256, 2048])
+def test_ngram_join_of_one_template(docs, monkeypatch, n):
+    """Notices that differ in one word: pairs left to verify do not grow with the square of the group."""
+    monkeypatch.setattr(ngram_join, "CHUNK", 64)
+    open_pairs, counted = ngram_join._open_pairs, []
+    monkeypatch.setattr(ngram_join, "_open_pairs", lambda cand, comp: counted.append(open_pairs(cand, comp).count()) or open_pairs(cand, comp))
+    notice = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join([*notice[:60], f"name{i}", *notice[61:]])) for i in range(n)]
+    got = ngram_join.similar_classes(docs(rows)).collect()
+    assert {(r.n_shingles, r.component_id) for r in got} == {(116, 0)} and len(got) == n
+    assert counted[0] <= 4 * n
+
+
 def test_ngram_join_over_many_flushes(docs, helpers, monkeypatch):
     monkeypatch.setattr(ngram_join, "FLUSH_TOKENS", 300)
     rows = list(enumerate(near_copies(4)))
@@ -338,12 +351,6 @@ def test_language_mixtures_against_a_plain_estimate(small, n_langs):
         assert all(abs(shares[i] - s) < 1e-3 for i, s in want.items())
 
 
-def test_language_columns_with_odd_names(docs):
-    rows = docs([(1, "the cat sat on the mat", 5), (2, None, 6)], "doc_id long, text string, `a``b.c` int")
-    got = langid.predict(rows, langid.train(rows.withColumn("lang", F.lit("en")))).collect()
-    assert [(r.doc_id, r["a`b.c"], r.lang_pred) for r in got] == [(1, 5, "en"), (2, 6, langid.UNDETERMINED)]
-
-
 def test_language_of_long_texts_in_pieces(monkeypatch):
     text = "Où est-ce que l'été, ΣΑΣ? " * 400 + "the end"
     whole = np.zeros(langid.FEATURES, np.int64)
