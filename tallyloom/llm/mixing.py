@@ -2,8 +2,8 @@
 
 Documents of one membership pattern (the set of sources they belong to) are alike, so the flow is over patterns: each
 holds its words up to three times, the second and third time at a higher cost, and every source takes its quota from
-the patterns that belong to it. Patterns of one source that share it with no other are settled directly; only the
-rest is a flow problem, whose size is that of the pattern table and not of the corpus.
+the patterns that belong to it. All patterns go through the flow, whose size is that of the pattern table and not of
+the corpus.
 
 Which documents fill a pattern's part is decided by a seeded hash order: sums per hash bin find the bin in which the
 part ends, and only that bin's documents are put in order.
@@ -11,7 +11,7 @@ part ends, and only that bin's documents are put in order.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import defaultdict, deque
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,61 +46,68 @@ def targets(sizes: dict, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_REP
     return out
 
 
+def _path(start: tuple, reached_sink, steps, dead: set) -> tuple[list, set]:
+    """The shortest chain of nodes from a pattern to a source that still wants words, and all nodes met on the way.
+
+    ``dead`` nodes are known not to lead anywhere; the chain is empty if nothing does.
+    """
+    came: dict = {start: None}
+    queue = deque([start])
+    while queue:
+        node = queue.popleft()
+        if reached_sink(node):
+            chain = [node]
+            while came[chain[-1]] is not None:
+                chain.append(came[chain[-1]])
+            return chain[::-1], set(came)
+        for step in steps(node):
+            if step not in came and step not in dead:
+                came[step] = node
+                queue.append(step)
+    return [], set(came)
+
+
 def route(patterns: dict[tuple, int], quotas: dict, most: int = MAX_REPEATS) -> dict[tuple, dict]:
     """Words each source takes from each pattern: maximum flow at least cost, the k-th repetition costing k - 1 a word.
 
-    Successive shortest paths on the residual graph. A path enters at a pattern with a free repetition, and may pass
-    through sources whose words another pattern can supply instead.
+    Successive shortest paths on the residual graph, one repetition level after the other, because entering at a level
+    costs the same for all patterns. A path enters at a pattern with free words, and may pass through sources whose
+    words another pattern can supply instead. What a search without success has met stays closed for the rest of its
+    level (later paths do not touch it), so the work grows with the paths found and not with patterns times paths.
     """
     flow: dict[tuple, dict] = {p: {} for p in patterns}
-    of_source: dict = defaultdict(list)
-    for p in patterns:
-        for s in p:
-            of_source[s].append(p)
+    suppliers: dict = defaultdict(dict)  # source to the patterns it takes words from, in a fixed order
     wanted = dict(quotas)
     used = dict.fromkeys(patterns, 0)
-    tied = {s for s, ps in of_source.items() if len(ps) > 1 or len(ps[0]) > 1}
-    for p, size in patterns.items():
-        if len(p) == 1 and p[0] not in tied:
-            used[p] = min(quotas.get(p[0], 0), most * size)
-            flow[p] = {p[0]: used[p]}
-            wanted[p[0]] = 0
+
+    def wants(node) -> bool:
+        return node[0] == "s" and wanted.get(node[1], 0) > 0
+
+    def steps(node) -> list:
+        kind, x = node
+        return [("s", s) for s in x] if kind == "p" else [("p", p) for p in suppliers[x]]
+
     for level in range(most):
-        # Entering costs the same for all patterns of a level, so any path will do until the level has none left.
-        free = {p: (level + 1) * size - used[p] for p, size in patterns.items() if (level + 1) * size > used[p]}
-        while True:
-            start = [p for p in sorted(free, key=repr) if free[p] > 0]
-            came: dict = {("p", p): None for p in start}
-            queue = [("p", p) for p in start]
-            end = None
-            while queue and end is None:
-                kind, x = node = queue.pop(0)
-                if kind == "p":
-                    steps = [("s", s) for s in x]
-                elif wanted.get(x, 0) > 0:
-                    end = node
+        dead: set = set()
+        for p in sorted(patterns, key=repr):
+            free = (level + 1) * patterns[p] - used[p]
+            while free > 0 and ("p", p) not in dead:
+                chain, met = _path(("p", p), wants, steps, dead)
+                if not chain:
+                    dead |= met
                     break
-                else:
-                    steps = [("p", p) for p in of_source[x] if flow[p].get(x, 0) > 0]
-                for step in steps:
-                    if step not in came:
-                        came[step] = node
-                        queue.append(step)
-            if end is None:
-                break
-            path = [end]
-            while came[path[-1]] is not None:
-                path.append(came[path[-1]])
-            path.reverse()
-            amount = min(free[path[0][1]], wanted[end[1]], *(flow[q[1]][p[1]] for p, q in zip(path[1::2], path[2::2], strict=False)))
-            for a, b in zip(path, path[1:], strict=False):
-                if a[0] == "p":
-                    flow[a[1]][b[1]] = flow[a[1]].get(b[1], 0) + amount
-                else:
-                    flow[b[1]][a[1]] -= amount
-            free[path[0][1]] -= amount
-            used[path[0][1]] += amount
-            wanted[end[1]] -= amount
+                back = list(zip(chain[1::2], chain[2::2], strict=False))
+                amount = min(free, wanted[chain[-1][1]], *(flow[q][s] for (_, s), (_, q) in back))
+                for (_, s), (_, q) in back:
+                    flow[q][s] -= amount
+                    if not flow[q][s]:
+                        del flow[q][s], suppliers[s][q]
+                for (_, q), (_, s) in zip(chain[::2], chain[1::2], strict=True):
+                    flow[q][s] = flow[q].get(s, 0) + amount
+                    suppliers[s][q] = None
+                free -= amount
+                used[p] += amount
+                wanted[chain[-1][1]] -= amount
     return flow
 
 

@@ -9,6 +9,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyloom.llm import chat, components, embedding_dedup, htmltext, mixing, pagegen, warc
 
@@ -161,6 +162,50 @@ def test_flow_reroutes():
     assert {p: sum(f.values()) for p, f in flow.items()} == {("a", "b"): 10, ("a",): 10}
 
 
+def repetition_cost(taken, patterns):
+    return sum(max(0, t - k * patterns[p]) for p, t in taken.items() for k in (1, 2))
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_flow_against_every_flow(seed):
+    rng = np.random.default_rng(seed)
+    kinds = [("a",), ("b",), ("a", "b"), (None, "a")]
+    patterns = {kinds[i]: int(rng.integers(0, 4)) for i in rng.permutation(4)[:3]}
+    quotas = {s: int(rng.integers(0, 9)) for s in ("a", "b", None)}
+    choices = []
+    for p, size in patterns.items():
+        parts = itertools.product(range(3 * size + 1), repeat=len(p))
+        choices.append([(p, part) for part in parts if sum(part) <= 3 * size])
+    best = (1, 0)
+    for flows in itertools.product(*choices):
+        got = dict.fromkeys(quotas, 0)
+        for p, part in flows:
+            for s, amount in zip(p, part, strict=True):
+                got[s] += amount
+        if all(got[s] <= quotas[s] for s in quotas):
+            best = min(best, (-sum(got.values()), repetition_cost({p: sum(part) for p, part in flows}, patterns)))
+    flow = mixing.route(patterns, quotas)
+    taken = {p: sum(f.values()) for p, f in flow.items()}
+    assert all(sum(f.get(s, 0) for f in flow.values()) <= quotas[s] for s in quotas)
+    assert all(amount >= 0 and s in p for p, f in flow.items() for s, amount in f.items())
+    assert (-sum(taken.values()), repetition_cost(taken, patterns)) == best
+
+
+def test_flow_over_many_patterns_is_not_quadratic():
+    patterns = {(f"s{i}",): 5 for i in range(20_000)} | {(f"s{i}", f"s{i + 1}"): 5 for i in range(20_000)}
+    start = time.monotonic()
+    flow = mixing.route(patterns, {f"s{i}": 12 for i in range(20_001)})
+    assert sum(sum(f.values()) for f in flow.values()) == 12 * 20_001 and time.monotonic() - start < 20
+
+
+def test_the_mix_takes_what_the_flow_routes(spark, monkeypatch):
+    rows = [(i, "w w", "xyz"[i % 3]) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "route", lambda patterns, quotas: {p: {p[0]: 20} for p in patterns})
+    taken = {r.source: r.taken for r in frame.join(mixing.mix_by_source(frame).select("doc_id", "taken"), "doc_id").groupBy("source").agg(F.sum("taken").alias("taken")).collect()}
+    assert taken == {"x": 20, "y": 20, "z": 20}
+
+
 def test_mix_edge_cases(spark):
     rows = [(i, "w " * (i % 7 + 1), s) for i, s in enumerate(["x", "y", "z", None] * 50)] + [(None, None, "x"), (3, "", "y"), (3, "a b", "y"), (3, "a b", "y")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
