@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -34,26 +35,39 @@ def deduplicate(rows: DataFrame, key: Column, pos: str = "pos") -> DataFrame:
     return keyed.join(least, (F.col(pos) == F.col("_at")) & F.col("_key").eqNullSafe(F.col("_of")), "left_semi").drop("_key")
 
 
-def balance(rows: DataFrame, group: str, key: str, quota: int, seed: int = 0) -> DataFrame:
-    """At most ``quota`` rows of each group, the first in a seeded hash order of ``key``. A NULL group is a group of its own;
-    a row without a key is an error.
+def first_of_groups(
+    rows: DataFrame, groups: list[str], key: str, with_quota: Callable[[DataFrame], DataFrame], seed: int = 0
+) -> DataFrame:
+    """The first rows of each group in a seeded hash order of ``key``, as many as ``with_quota`` puts into ``_quota``.
 
     Rows are counted per group and hash bin; bins below the quota are taken whole, and only the bin in which it falls
-    is put in order, so a group is never gathered.
+    is put in order, so a group is never gathered. ``with_quota`` gets the table of bins, one line per group and bin. A
+    NULL group is a group of its own; a row without a key is an error.
     """
     ranked = rows.withColumn("_rank", seeded_rank(_required(rows, key), seed))
     binned = ranked.withColumn("_bin", F.shiftright("_rank", 60 - _BIN_BITS))
-    running = W.Window.partitionBy(group).orderBy("_bin")  # at most 4,096 lines a group
-    bins = binned.groupBy(group, "_bin").agg(F.count("*").alias("_rows"))
-    bins = bins.withColumn("_left", F.lit(quota) - F.sum("_rows").over(running) + F.col("_rows")).filter("_left > 0")
-    bins = materialize(bins.withColumnRenamed(group, "_group"), "bins").withColumnRenamed("_bin", "_of")
-    joined = binned.join(bins, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_bin") == F.col("_of")))
+    running = W.Window.partitionBy(*groups).orderBy("_bin")  # at most 4,096 lines a group
+    bins = with_quota(binned.groupBy(*groups, "_bin").agg(F.count("*").alias("_rows")))
+    left = F.col("_quota") - F.sum("_rows").over(running) + F.col("_rows")
+    bins = bins.withColumn("_left", left).filter("_left > 0").drop("_quota")
+    renamed = {g: f"_group{i}" for i, g in enumerate(groups)}
+    bins = materialize(bins.withColumnsRenamed(renamed), "bins").withColumnRenamed("_bin", "_of")
+    same = F.col("_bin") == F.col("_of")
+    for group, name in renamed.items():
+        same = same & F.col(group).eqNullSafe(F.col(name))
+    joined = binned.join(bins, same)
     whole = joined.filter("_rows <= _left")
-    order = W.Window.partitionBy(group, "_bin").orderBy("_rank", key)
+    order = W.Window.partitionBy(*groups, "_bin").orderBy("_rank", key)
     cut = joined.filter("_rows > _left").withColumn("_place", F.row_number().over(order)).filter("_place <= _left")
     return whole.select(rows.columns).unionByName(cut.select(rows.columns))
 
 
+def balance(rows: DataFrame, group: str, key: str, quota: int, seed: int = 0) -> DataFrame:
+    """At most ``quota`` rows of each group, the first in a seeded hash order of ``key``. A NULL group is a group of its own;
+    a row without a key is an error."""
+    return first_of_groups(rows, [group], key, lambda bins: bins.withColumn("_quota", F.lit(quota)), seed)
+
+
 def compare_arms(findings: dict[str, DataFrame], by: tuple[str, ...] = ("metric", "stat")) -> DataFrame:
     """Long findings of two arms side by side, with the second minus the first as ``delta``."""
     first, second = findings

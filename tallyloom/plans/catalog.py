@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import text as X
 from tallyloom.functions.messages import last_assistant
-from tallyloom.operators import curate, evalruns, export, fingerprint, quality, ranking, retrieval, selection, synthetic
+from tallyloom.operators import curate, evalruns, export, fingerprint, margins, quality, ranking, retrieval, selection, synthetic
 from tallyloom.plans import bindings as B
 from tallyloom.plans import jobs
 from tallyloom.plans.recipe import Recipe
@@ -24,6 +24,7 @@ CPT_MAX = 8000
 EVENT_CAP = 1500
 SHARE, FRACTION_SEED = 0.5, 7
 LANG_QUOTA, BALANCE_SEED = 150, 3
+RAREST_SHARE = 0.75
 MAX_QUERIES, QUERY_SEED = 100, 0
 SEARCH = jobs.RetrievalSettings(top_k=100, rerank_pool=20)
 SFT_COLUMNS = ["instruction", "input", "output"]
@@ -481,6 +482,18 @@ def balanced_languages(spark: SparkSession, folder: str) -> DataFrame:
     return curate.balance(documents, "lang", "doc_id", LANG_QUOTA, BALANCE_SEED)
 
 
+@query
+def balanced_margins(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per language and per source of a corpus balanced along both: three quarters of the rarest language's rows
+    for every language, and as many for every source."""
+    documents = B.table(spark, folder, "documents").select("doc_id", "lang", "source")
+    per_lang = documents.groupBy("lang").count().agg(F.min("count").alias("least"), F.count("*").alias("n")).first()
+    total = int(RAREST_SHARE * (per_lang.least or 0)) * per_lang.n
+    kept = margins.balance_margins(documents, "lang", "source", "doc_id", total, seed=BALANCE_SEED)
+    axes = F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.col(a).alias("value")) for a in ("lang", "source")]))
+    return kept.select(axes.alias("a")).groupBy("a.axis", "a.value").agg(F.count("*").alias("rows"))
+
+
 @query
 def arm_comparison(spark: SparkSession, folder: str) -> DataFrame:
     """All documents against those that deduplication leaves."""

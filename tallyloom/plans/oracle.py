@@ -271,6 +271,11 @@ ORACLE: dict[str, str] = {
         WHERE {_seeded(C.FRACTION_SEED)} < CAST({C.SHARE} * 1152921504606846976 AS BIGINT)""",
     "balanced_languages": f"""SELECT doc_id, lang FROM documents QUALIFY row_number() OVER (
         PARTITION BY lang ORDER BY {_seeded(C.BALANCE_SEED)}, doc_id) <= {C.LANG_QUOTA}""",
+    "balanced_margins": f"""WITH l AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang),
+        q AS (SELECT CAST(floor({C.RAREST_SHARE} * min(n)) AS BIGINT) AS each, count(*) AS k FROM l),
+        s AS (SELECT source, row_number() OVER (ORDER BY source NULLS LAST) AS i, count(*) OVER () AS m FROM documents GROUP BY source)
+        SELECT 'lang' AS axis, lang AS value, each AS rows FROM l, q WHERE each > 0
+        UNION ALL SELECT 'source', source, each * k // m + CASE WHEN i <= each * k % m THEN 1 ELSE 0 END FROM s, q WHERE each * k // m + CASE WHEN i <= each * k % m THEN 1 ELSE 0 END > 0""",
     "arm_comparison": f"""WITH k AS (SELECT min(doc_id) AS doc_id FROM documents GROUP BY {_normalised('text')}),
         a AS (SELECT 'before' AS arm, length(text) AS n FROM documents
           UNION ALL SELECT 'after', length(text) FROM documents SEMI JOIN k USING (doc_id)),
