@@ -428,9 +428,13 @@ def eval_numbers(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def eval_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Result files written below the shared folder; the newest of each run is found again and read whole."""
+    """Result files written below the shared folder, two generations of each run; the newest of each is found again,
+    and all are read by one scan."""
     root = scratch_path(spark, "eval")
-    B.eval_documents(spark, folder).write.partitionBy("run").text(root)
+    documents = materialize(B.eval_documents(spark, folder), "eval-documents")
+    stale = documents.select("run", F.regexp_replace("document", '"acc', '"stale').alias("document"))
+    stale.write.partitionBy("run").text(root)
+    documents.write.mode("append").partitionBy("run").text(root)
     newest = writers.newest_files(spark, root, r"/run=([^/]+)/part-[^/]*$")
     runs = {row.stem: row.path for row in newest.collect()}  # one short line per run
     picked = evalruns.pick_metric(evaljson.read_eval_runs(spark, runs))

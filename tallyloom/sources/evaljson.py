@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,13 +22,23 @@ def parse_run_arguments(items: list[str]) -> dict[str, str]:
     return runs
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path as a file listing names it: absolute, with its file system."""
+    plain = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return plain.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(plain).toString()
+
+
 def read_eval_documents(spark: SparkSession, runs: dict[str, str]) -> DataFrame:
-    """``(run, document)``, one row per run. A missing file is an error."""
-    frames = [
-        spark.read.text(path, wholetext=True).select(F.lit(name).alias("run"), F.col("value").alias("document"))
-        for name, path in runs.items()
-    ]
-    return reduce(DataFrame.unionByName, frames)
+    """``(run, document)``, one row per run, from one scan of all their files, however many runs there are.
+
+    A missing file is an error, and so is a run whose path is no file (a folder, a pattern). Two runs may name one file.
+    """
+    places = {name: _qualified(spark, path) for name, path in runs.items()}
+    files = spark.read.format("binaryFile").load(sorted(set(places.values())))
+    named = spark.createDataFrame(list(places.items()), "run string, path string")
+    found = named.join(files.select("path", F.col("content").cast("string").alias("document")), "path", "left")
+    missing = F.raise_error(F.concat(F.lit("not a file: "), F.col("path"))).cast("string")
+    return found.select("run", F.coalesce("document", missing).alias("document"))
 
 
 def eval_metrics(documents: DataFrame) -> DataFrame:

@@ -154,3 +154,24 @@ def test_a_string_that_looks_like_an_object_is_no_task(spark):
     text = '{"results": {"note": "{\\"acc\\": 0.9}", "t": {"z": 1, "acc": 0.5}}, "config": {}}'
     rows = evaljson.eval_metrics(spark.createDataFrame([("r", text)], "run string, document string")).collect()
     assert [(r.task, r.metric) for r in sorted(rows, key=lambda r: r.pos)] == [("t", "z"), ("t", "acc")]
+
+
+def test_many_runs_are_one_scan(spark, tmp_path):
+    runs = {}
+    for i in range(300):
+        file = tmp_path / f"run {i} 50%=a+b.json"
+        file.write_text(json.dumps({"results": {"t": {"acc": i / 8}}, "config": {}}))
+        runs[f"r{i}"] = str(file)
+    runs["again"] = runs["r7"]
+    metrics = evaljson.read_eval_runs(spark, runs)
+    plan = metrics._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("binaryFile") == 1 and "Union" not in plan
+    got = {r.run: r.number for r in metrics.collect()}
+    assert got == {f"r{i}": i / 8 for i in range(300)} | {"again": 7 / 8}
+
+
+def test_a_run_that_is_no_file_is_an_error(spark, tmp_path):
+    (tmp_path / "folder").mkdir()
+    (tmp_path / "folder" / "a.json").write_text('{"results":{}}')
+    with pytest.raises(Exception, match="not a file: .*folder"):
+        evaljson.read_eval_runs(spark, {"x": str(tmp_path / "folder")}).collect()
