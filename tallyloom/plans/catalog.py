@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import text as X
 from tallyloom.functions.messages import last_assistant
-from tallyloom.operators import curate, evalruns, export, fingerprint, margins, quality, ranking, retrieval, selection, synthetic
+from tallyloom.operators import curate, digests, evalruns, export, fingerprint, margins, quality, ranking, retrieval, selection, synthetic
 from tallyloom.plans import bindings as B
 from tallyloom.plans import jobs
 from tallyloom.plans.recipe import Recipe
@@ -25,6 +25,7 @@ EVENT_CAP = 1500
 SHARE, FRACTION_SEED = 0.5, 7
 LANG_QUOTA, BALANCE_SEED = 150, 3
 RAREST_SHARE = 0.75
+LONG_TEXT, ARM_DIGITS = 1500, 1
 MAX_QUERIES, QUERY_SEED = 100, 0
 SEARCH = jobs.RetrievalSettings(top_k=100, rerank_pool=20)
 SFT_COLUMNS = ["instruction", "input", "output"]
@@ -512,6 +513,19 @@ def arm_comparison(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(compared, "before", "after", "delta")
 
 
+@query
+def arm_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that a deduplicated arm, with the language of its long texts taken back, does not share with all documents."""
+    rows = B.table(spark, folder, "documents")
+    kept = curate.deduplicate(rows, X.norm_key_bytes(F.col("text")), "doc_id")
+    lang = F.when(F.length("text") > LONG_TEXT, F.lit(None)).otherwise(F.col("lang")).alias("lang")
+    before, after = scratch_path(spark, "arm"), scratch_path(spark, "arm")
+    cols = ["doc_id", "lang", "source"]
+    digests.store_arm(rows.select(*cols), cols, before, ARM_DIGITS)
+    digests.store_arm(kept.select("doc_id", lang, "source"), cols, after, ARM_DIGITS)
+    return digests.compare_stored(spark, before, after, "doc_id bigint, lang string, source string", ARM_DIGITS)
+
+
 @query
 def seed_spread(spark: SparkSession, folder: str) -> DataFrame:
     """Mean length per source as the metric of a run, languages as recipes, document numbers as seeds."""

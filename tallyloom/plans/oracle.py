@@ -292,6 +292,11 @@ ORACLE: dict[str, str] = {
           unnest(['value', 'p50', 'p90', 'p95', 'p99', 'mean', 'value', 'value']) AS stat,
           unnest([r, p[1], p[2], p[3], p[4], m, 1 - q / r, q]) AS value FROM s)
         SELECT dataset, metric, stat, round(value, 6) AS value FROM l""",
+    "arm_changes": f"""WITH k AS (SELECT min(doc_id) AS doc_id FROM documents GROUP BY {_normalised('text')}),
+        a AS (SELECT doc_id, lang, source FROM documents),
+        b AS (SELECT doc_id, CASE WHEN length(text) > {C.LONG_TEXT} THEN NULL ELSE lang END AS lang, source FROM documents SEMI JOIN k USING (doc_id))
+        SELECT *, 'removed' AS change, count(*) AS rows FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) GROUP BY ALL
+        UNION ALL SELECT *, 'added', count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) GROUP BY ALL""",
     "seed_spread": """WITH p AS (SELECT lang, doc_id % 3 AS s, source, avg(n_chars) AS v FROM documents GROUP BY ALL)
         SELECT lang AS id, source AS task, count(*) AS n_seeds, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS spread
         FROM p GROUP BY lang, source""",
