@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import text as X
 from tallyloom.functions.messages import last_assistant
-from tallyloom.operators import curate, digests, evalruns, export, fingerprint, margins, quality, ranking, retrieval, selection, synthetic
+from tallyloom.operators import batches, curate, digests, evalruns, export, fingerprint, margins, quality, ranking, retrieval, selection, synthetic
 from tallyloom.plans import bindings as B
 from tallyloom.plans import jobs
 from tallyloom.plans.recipe import Recipe
@@ -26,6 +27,7 @@ SHARE, FRACTION_SEED = 0.5, 7
 LANG_QUOTA, BALANCE_SEED = 150, 3
 RAREST_SHARE = 0.75
 LONG_TEXT, ARM_DIGITS = 1500, 1
+KEY_BUCKETS = 16
 MAX_QUERIES, QUERY_SEED = 100, 0
 SEARCH = jobs.RetrievalSettings(top_k=100, rerank_pool=20)
 SFT_COLUMNS = ["instruction", "input", "output"]
@@ -475,6 +477,20 @@ def deduplicated_documents(spark: SparkSession, folder: str) -> DataFrame:
     return curate.deduplicate(B.documents(spark, folder), X.norm_key_bytes(F.col("text")), "doc_id").select("doc_id")
 
 
+@query
+def deduplicated_in_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in two batches by document number, each deduplicated against what was kept before it."""
+    rows = B.documents(spark, folder)
+    middle = rows.agg(F.expr("(min(doc_id) + max(doc_id)) div 2")).first()[0] or 0
+    table = f"kept_{uuid.uuid4().hex}"
+    batches.create_key_table(spark, table, scratch_path(spark, "keys"), KEY_BUCKETS)
+    key = X.norm_key_bytes(F.col("text"))
+    halves = [rows.filter(F.col("doc_id") <= middle), rows.filter(F.col("doc_id") > middle)]
+    found = [batches.add_batch(half, key, table, str(i), "doc_id").select("doc_id") for i, half in enumerate(halves)]
+    spark.sql(f"DROP TABLE {table}")  # of the catalogue; its files are the shared folder's
+    return found[0].unionByName(found[1])
+
+
 @query
 def half_of_documents(spark: SparkSession, folder: str) -> DataFrame:
     documents = B.table(spark, folder, "documents").select("doc_id", "lang")

@@ -267,6 +267,7 @@ ORACLE: dict[str, str] = {
     "export_file_rows": f"{_ALL} SELECT count(*) AS rows, CAST(64 AS INTEGER) AS hash_length FROM cpt",
     "event_first_rows": f"SELECT user_id, event_id FROM events ORDER BY user_id, event_id LIMIT {C.EVENT_CAP}",
     "deduplicated_documents": f"SELECT min(doc_id) AS doc_id FROM documents GROUP BY {_normalised('text')}",
+    "deduplicated_in_batches": f"SELECT min(doc_id) AS doc_id FROM documents GROUP BY {_normalised('text')}",
     "half_of_documents": f"""SELECT doc_id, lang FROM documents
         WHERE {_seeded(C.FRACTION_SEED)} < CAST({C.SHARE} * 1152921504606846976 AS BIGINT)""",
     "balanced_languages": f"""SELECT doc_id, lang FROM documents QUALIFY row_number() OVER (
