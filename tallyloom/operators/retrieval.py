@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -180,23 +180,34 @@ def score_pairs(
     corpus: DataFrame,
     pool: int,
     load_scorer: Callable[[], Callable[[list[str], list[str]], list[float]]],
+    batch_size: int = 64,
 ) -> DataFrame:
     """``(qid, doc_id, score)`` of the heads from a user's reranking model.
 
-    ``load_scorer`` runs once per Python worker and returns ``scorer(query_texts, passages) -> scores``. Only the heads
-    are joined to their texts.
+    ``load_scorer`` runs once per Python worker and returns ``scorer(query_texts, passages) -> scores``, which gets at
+    most ``batch_size`` pairs of like length at a time, so that a padded model wastes little. Only the heads are joined
+    to their texts; a head without a query text or a passage is an error.
     """
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def make_predict():
         scorer = load_scorer()
-        for texts, docs in batches:
-            yield pd.Series(np.asarray(scorer(list(texts), list(docs)), dtype=np.float64))
+
+        def predict(texts: np.ndarray, docs: np.ndarray) -> np.ndarray:
+            return np.asarray(scorer(list(texts), list(docs)), dtype=np.float64)
+
+        return predict
+
+    score = predict_batch_udf(make_predict, return_type=T.DoubleType(), batch_size=batch_size)
+
+    def required(column: str, key: str) -> Column:
+        return F.coalesce(F.col(column), F.raise_error(F.concat(F.lit(f"no {column} for "), F.col(key).cast("string"))).cast("string"))
 
     heads = ranked.filter(F.col("rk") <= pool).select("qid", "doc_id")
-    with_text = heads.join(queries.select("qid", F.col("text").alias("query_text")), "qid")
-    with_text = passages(corpus).join(with_text, "doc_id")
-    return with_text.select("qid", "doc_id", score("query_text", "passage").alias("score"))
+    with_text = heads.join(queries.select("qid", F.col("text").alias("query_text")), "qid", "left")
+    with_text = with_text.join(passages(corpus), "doc_id", "left")
+    pairs = with_text.select("qid", "doc_id", required("query_text", "qid").alias("query_text"), required("passage", "doc_id").alias("passage"))
+    alike = pairs.sortWithinPartitions(F.length("passage") + F.length("query_text"))
+    return alike.select("qid", "doc_id", score("query_text", "passage").alias("score"))
 
 
 def merge_rerank(ranked: DataFrame, rerank_scores: DataFrame, pool: int) -> DataFrame:

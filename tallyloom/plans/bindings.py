@@ -92,6 +92,11 @@ def corpus(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def vector_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """A document per vector: the one of its number, or one without title and text where the tables have none."""
+    return doc_vectors(spark, folder).select("doc_id").join(corpus(spark, folder), "doc_id", "left")
+
+
 def topic(label: str = "label"):
     return F.concat(F.lit("t"), F.col(label).cast("string"))
 

@@ -384,6 +384,23 @@ def reranked(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(retrieval.merge_rerank(ranked, B.rerank_scores(ranked), SEARCH.rerank_pool), "score")
 
 
+def load_letter_scorer():
+    """A stated scorer in place of a model: the share of a passage's characters that occur in the query."""
+
+    def score(texts: list[str], passages: list[str]) -> list[float]:
+        return [sum(p.count(c) for c in set(q)) / (1 + len(p)) for q, p in zip(texts, passages, strict=True)]
+
+    return score
+
+
+@query
+def scored_heads(spark: SparkSession, folder: str) -> DataFrame:
+    """The heads of the ranking scored from query and passage text inside the engine."""
+    ranked = materialize(cosine_topk(spark, folder), "ranking")
+    queries, corpus = B.topic_queries(spark, folder), B.vector_passages(spark, folder)
+    return rounded(retrieval.score_pairs(ranked, queries, corpus, SEARCH.rerank_pool, load_letter_scorer), "score")
+
+
 def _metrics(spark: SparkSession, folder: str) -> DataFrame:
     runs = jobs.retrieval_runs(B.query_vectors(spark, folder), B.doc_vectors(spark, folder), B.rerank_scores, SEARCH)
     return ranking.ranking_metrics(B.topic_qrels(spark, folder), runs, ranking.k_grid(SEARCH.top_k))

@@ -241,6 +241,10 @@ _RUN_COLUMNS = ", ".join(
 )
 _STRICT_ROWS = f"WITH {_EVAL} SELECT run, task, metric, round(value, 6) AS value FROM strict"
 
+_PASSAGES = f"""SELECT CAST(doc_id AS VARCHAR) AS doc_id,
+    CASE WHEN {_strip("source")} = '' THEN {_strip("text")}
+         ELSE {_strip(_strip("source") + " || ' ' || " + _strip("text"))} END AS passage FROM documents"""
+
 ORACLE: dict[str, str] = {
     "sft_examples": f"{_ALL} SELECT * FROM sft",
     "sft_first_rows": f"{_ALL} SELECT * FROM sft ORDER BY pos LIMIT {C.SFT_CAP}",
@@ -314,9 +318,7 @@ ORACLE: dict[str, str] = {
         SELECT pos, length(chosen) - length(rejected) AS len_diff,
           length(chosen) > length(rejected) AS chosen_longer, {_PREFIX} AS shared_prefix
         FROM dpo""",
-    "document_passages": f"""SELECT CAST(doc_id AS VARCHAR) AS doc_id,
-        CASE WHEN {_strip("source")} = '' THEN {_strip("text")}
-             ELSE {_strip(_strip("source") + " || ' ' || " + _strip("text"))} END AS passage FROM documents""",
+    "document_passages": _PASSAGES,
     "length_percentiles": """SELECT count(*) AS rows,
         round(quantile_cont(CAST(length(text) AS DOUBLE), 0.5), 6) AS p50,
         round(quantile_cont(CAST(length(text) AS DOUBLE), 0.9), 6) AS p90,
@@ -377,6 +379,9 @@ ORACLE: dict[str, str] = {
     "cosine_topk": f"WITH {_SEARCH} SELECT qid, doc_id, score, CAST(rk AS INTEGER) AS rk FROM ranked",
     "reranked": f"WITH {_SEARCH}, {_RERANK} "
     "SELECT qid, doc_id, round(score, 6) AS score, CAST(rk AS INTEGER) AS rk FROM reranked",
+    "scored_heads": f"""WITH {_SEARCH}, p AS ({_PASSAGES})
+        SELECT qid, r.doc_id, round(coalesce((length(passage) - length(translate(passage, qid, ''))) / (1.0 + length(passage)), 0), 6) AS score
+        FROM ranked r LEFT JOIN p ON p.doc_id = r.doc_id WHERE rk <= {C.SEARCH.rerank_pool}""",
     "ranking_metrics": f"WITH {_SEARCH}, {_RERANK}, {_METRICS} SELECT * FROM metrics",
     "system_comparison": f"WITH {_SEARCH}, {_RERANK}, {_METRICS}, {_COMPARED} SELECT * FROM compared",
     "improvement_gate": f"""WITH {_SEARCH}, {_RERANK}, {_METRICS}, {_COMPARED}

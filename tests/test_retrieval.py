@@ -210,6 +210,31 @@ def test_model_scores_of_the_heads(spark):
     assert [r.doc_id for r in merged.orderBy("rk").collect()] == ["d2", "d1", "d3"]
 
 
+def test_heads_without_text_are_errors(spark):
+    queries = spark.createDataFrame([("q", "abc")], "qid STRING, text STRING")
+    corpus = spark.createDataFrame([(f"d{i}", "T", "x") for i in (2, 3)], "doc_id STRING, title STRING, text STRING")
+    load = lambda: lambda texts, docs: [0.0] * len(texts)
+    with pytest.raises(Exception, match="no passage for d1"):
+        retrieval.score_pairs(ranked(spark), queries, corpus, 3, load).collect()
+    with pytest.raises(Exception, match="no query_text for q"):
+        retrieval.score_pairs(ranked(spark), queries.limit(0), corpus, 3, load).collect()
+
+
+def test_batches_hold_passages_of_like_length(spark):
+    corpus = spark.range(400).select(
+        F.col("id").cast("string").alias("doc_id"), F.lit("").alias("title"), F.repeat(F.lit("x"), (F.col("id") * 37 % 400).cast("int")).alias("text")
+    )
+    heads = corpus.select(F.lit("q").alias("qid"), "doc_id", F.lit(0.5).alias("score"), F.lit(1).alias("rk")).repartition(1)
+    queries = spark.createDataFrame([("q", "abc")], "qid STRING, text STRING")
+
+    def load():
+        return lambda texts, docs: [float(max(map(len, docs)) - min(map(len, docs)) + 1000 * len(docs))] * len(docs)
+
+    scores = [r.score for r in retrieval.score_pairs(heads, queries, corpus.coalesce(1), 1, load, batch_size=20).collect()]
+    assert len(scores) == 400 and max(s // 1000 for s in scores) <= 20
+    assert sum(s % 1000 for s in scores) / len(scores) < 200  # unsorted batches spread over some 370
+
+
 def test_subsample(spark):
     queries = spark.createDataFrame([(f"q{i}", "t") for i in range(50)], "qid STRING, text STRING")
     qrels = judgements(spark, [(f"q{i}", "d", 1) for i in range(20, 70)])
