@@ -428,6 +428,15 @@ def system_comparison(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(_comparison(spark, folder), "ndcg_delta", digits=5)
 
 
+@query
+def comparison_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The comparison document of each dataset, its metric sets as lines."""
+    records = ranking.comparison_document(_comparison(spark, folder))
+    sets = [F.struct(F.lit(s).alias("system"), F.col(s).alias("metrics")) for s in (ranking.BASELINE, ranking.RERANKED)]
+    one = records.select("dataset", "n_queries", F.explode(F.array(*sets)).alias("s"))
+    return one.select("dataset", "n_queries", "s.system", F.explode("s.metrics").alias("metric", "value"))
+
+
 @query
 def improvement_gate(spark: SparkSession, folder: str) -> DataFrame:
     return ranking.improvement_gate(_comparison(spark, folder))

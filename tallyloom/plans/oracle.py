@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tallyloom.operators import quality as Q
 from tallyloom.operators import synthetic as S
+from tallyloom.operators.ranking import BASELINE, METRICS, RERANKED
 from tallyloom.plans import catalog as C
 from tallyloom.plans.bindings import EVAL_RUNS
 
@@ -384,6 +385,11 @@ ORACLE: dict[str, str] = {
         FROM ranked r LEFT JOIN p ON p.doc_id = r.doc_id WHERE rk <= {C.SEARCH.rerank_pool}""",
     "ranking_metrics": f"WITH {_SEARCH}, {_RERANK}, {_METRICS} SELECT * FROM metrics",
     "system_comparison": f"WITH {_SEARCH}, {_RERANK}, {_METRICS}, {_COMPARED} SELECT * FROM compared",
+    "comparison_records": f"WITH {_SEARCH}, {_RERANK}, {_METRICS}, {_COMPARED} " + " UNION ALL ".join(
+        f"SELECT dataset, n_queries, '{system}' AS system, '{m}@' || k AS metric, {m}_{system} AS value FROM compared"
+        for system in (BASELINE, RERANKED)
+        for m in METRICS
+    ),
     "improvement_gate": f"""WITH {_SEARCH}, {_RERANK}, {_METRICS}, {_COMPARED}
         SELECT dataset, ndcg_dense AS ndcg_base, ndcg_rerank AS ndcg_new,
           NOT ndcg_rerank <= ndcg_dense + 1e-6 AS passed FROM compared WHERE k = 10""",
